@@ -63,9 +63,10 @@ def order_rules() -> list[Rule]:
     rules += [
         # A missing state passes here; the target's NOT NULL contract catches it later.
         Rule(REASONS["order_status"], ~status.isin(ORDER_STATUSES)),
-        Rule(REASONS["quantity"], quantity.isNull() | (quantity <= 0)),
-        Rule(REASONS["unit_price"], price.isNull() | (price < 0)),
-        # A missing or non-numeric discount passes and later counts as 0. NaN sorts above 1.
+        # "Not known to be in range" covers NULL and parses the text once. NaN sorts above all.
+        Rule(REASONS["quantity"], ~F.coalesce(quantity > 0, F.lit(False))),
+        Rule(REASONS["unit_price"], ~F.coalesce(price >= 0, F.lit(False))),
+        # A missing or non-numeric discount passes and later counts as 0.
         Rule(REASONS["discount"], ~discount.between(0, 1)),
     ]
     return rules

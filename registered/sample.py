@@ -14,6 +14,7 @@ from orderflow.context import RunContext
 from orderflow.operators import quality
 from orderflow.operators.transform import transform
 from orderflow.schemas import RAW_COLUMNS
+from orderflow.sources.workdir import fresh_dir
 
 AS_OF = dt.date(2001, 8, 1)
 CTX = RunContext("00000000-0000-0000-0000-000000000001",
@@ -68,14 +69,19 @@ SPLIT_EXPRESSIONS = {
 }
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw orders with ``wave`` and ``landing_date``.
+_LANDED: dict[tuple[str, str], str] = {}
+
 
-    No join hints: whichever tables are small enough to broadcast, Spark finds by their size.
+def _derive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders with ``wave`` and ``landing_date``, from six tables.
+
+    The two tables that grow without bound are merged by a shuffle on the order key, where
+    adaptive execution can split a hot order. For the rest no hint is given: whichever are small
+    enough to broadcast, Spark finds by their size.
     """
     joined = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "orders").hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
@@ -85,6 +91,20 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*[F.expr(e).alias(c) for c, e in exprs.items()])
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw order files every query starts from, as a pipeline finds them in its source.
+
+    They are written to the shared folder once per application, so that queries scan stored text
+    columns: pruning and pushdown then work as they do on real raw files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = fresh_dir(spark, "raw")
+        _derive_lines(spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_lines(spark, sf_dir).select(*RAW_COLUMNS)
 
