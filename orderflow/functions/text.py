@@ -10,9 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Date layouts in a file key, in order of precedence.
-HIVE_DATE = r"year=(\d{4})/month=(\d{2})/day=(\d{2})"
+HIVE_DATE = r"year=(\d{4}/month=\d{2}/day=\d{2})"
 DT_DATE = r"dt=(\d{4}-\d{2}-\d{2})"
-PLAIN_DATE = r"(\d{4})/(\d{2})/(\d{2})"
+PLAIN_DATE = r"(\d{4}/\d{2}/\d{2})"
 
 
 def upper_trim(c: Column) -> Column:
@@ -23,9 +23,14 @@ def lower_trim(c: Column) -> Column:
     return F.trim(F.lower(c))
 
 
-def _three_part(key: Column, pattern: str) -> Column:
-    parts = [F.regexp_extract(key, pattern, i) for i in (1, 2, 3)]
-    return F.when(parts[0] != "", F.concat_ws("-", *parts))
+def _found(key: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(key, pattern, 1), F.lit(""))
+
+
+def _dashed(text: Column, *separators: str) -> Column:
+    for separator in separators:
+        text = F.replace(text, F.lit(separator), F.lit("-"))
+    return text
 
 
 def partition_date(key: Column, run_date: Column) -> Column:
@@ -34,9 +39,9 @@ def partition_date(key: Column, run_date: Column) -> Column:
     The text is not checked against the calendar; pass it through ``to_date`` for that.
     """
     return F.coalesce(
-        _three_part(key, HIVE_DATE),
-        F.nullif(F.regexp_extract(key, DT_DATE, 1), F.lit("")),
-        _three_part(key, PLAIN_DATE),
+        _dashed(_found(key, HIVE_DATE), "/month=", "/day="),
+        _found(key, DT_DATE),
+        _dashed(_found(key, PLAIN_DATE), "/"),
         run_date,
     )
 
@@ -56,4 +61,4 @@ def ends_with_any(c: Column, suffixes: Iterable[str]) -> Column:
 
 def replace_invalid_chars(c: Column) -> Column:
     """Bytes that are not UTF-8 become blanks."""
-    return F.translate(F.make_valid_utf8(c), "�", " ")
+    return F.replace(F.make_valid_utf8(c), F.lit("�"), F.lit(" "))

@@ -43,16 +43,21 @@ def parse_events(
     give no row. ``wrapped_bus_events=False`` ignores bus events inside queue messages.
     """
     kept = [c for c in df.columns if c != payload]
-
-    def unwrap(record: Column) -> Column:
-        body = F.from_json(record["body"], _ENVELOPE)
+    # Each JSON text is parsed in a column of its own, so once per message and once per body.
+    messages = df.select(*kept, F.from_json(payload, _ENVELOPE).alias("_message"))
+    records = messages.select(*kept, F.coalesce(
+        F.col("_message.Records"), _own_record(F.col("_message"))).alias("_records"))
+    bodies = records.select(*kept, "_records", F.transform(
+        "_records", lambda r: F.from_json(r["body"], _ENVELOPE)).alias("_bodies"))
+
+    def unwrap(record: Column, i: Column) -> Column:
+        body = F.get("_bodies", i)
         alone = _own_record(body) if wrapped_bus_events else F.array().cast(f"array<struct<{_RECORD}>>")
         return F.when(record["body"].isNull(), F.array(record)).otherwise(
             F.coalesce(body["Records"], alone))
 
-    message = F.from_json(payload, _ENVELOPE)
-    records = F.coalesce(message["Records"], _own_record(message))
-    event = df.select(*kept, F.posexplode(F.flatten(F.transform(records, unwrap))).alias("record_no", "_e"))
+    event = bodies.select(*kept, F.posexplode(
+        F.flatten(F.transform("_records", unwrap))).alias("record_no", "_e"))
 
     notified = (F.col("_e.s3.bucket.name") != "") & (F.col("_e.s3.object.key") != "")
     bucket = F.when(notified, F.col("_e.s3.bucket.name")).otherwise(F.col("_e.detail.bucket.name"))
@@ -92,14 +97,15 @@ def accepted_arrivals(
     """(key, second, *ident) of the arrivals that find no lock: the first of a key, then each
     first one at least ``ttl_seconds`` after the last *accepted* one.
 
-    Arrivals are first reduced to one row per key and second, combined before the shuffle, so
+    Arrivals are first reduced to the distinct seconds of a key, combined before the shuffle, so
     what is folded for a key depends on the time covered (86,400 numbers a day at the very
-    most), never on how often the key arrived. ``locks`` (key, second) carries the last accepted second
+    most), never on how often the key arrived. ``df`` is scanned twice: store it first when it is
+    costly to compute. ``locks`` (key, second) carries the last accepted second
     of each key over from earlier batches. ``ident`` names one arrival within its key.
     """
-    per_second = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident).groupBy(
-        key, "second").agg(F.min(F.struct(ts, *ident)).alias("_first"))
-    per_key = per_second.groupBy(key).agg(F.collect_list("second").alias("_seconds"))
+    timed = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident)
+    per_key = timed.select(key, "second").distinct().groupBy(key).agg(
+        F.collect_list("second").alias("_seconds"))
     last = F.lit(None).cast("bigint")
     if locks is not None:
         per_key = per_key.join(locks.select(key, F.col("second").alias("_locked")), key, "left")
@@ -113,8 +119,12 @@ def accepted_arrivals(
     start = F.struct(F.array().cast("array<bigint>").alias("taken"), last.alias("last"))
     taken = per_key.select(key, F.explode(F.aggregate(
         F.array_sort("_seconds"), start, step, lambda s: s["taken"])).alias("second"))
-    return taken.join(per_second, [key, "second"]).select(
-        key, "second", *[F.col(f"_first.{c}").alias(c) for c in ident])
+    # Of the arrivals within one accepted second the first is the one; the join leaves few of them.
+    return (
+        timed.join(taken, [key, "second"])
+        .groupBy(key, "second").agg(F.min(F.struct(ts, *ident)).alias("_first"))
+        .select(key, "second", *[F.col(f"_first.{c}").alias(c) for c in ident])
+    )
 
 
 def mark_repeats(

@@ -226,6 +226,9 @@ AUDIT = T.StructType([
 ])
 
 
+COMMIT = _struct([
+    ("commit_no", "bigint"), ("run_id", "string"), ("committed_at", "timestamp"),
+    ("order_year", "int"), ("order_month", "int"), ("path", "string")])
 MANIFEST_ENTRY = _struct([("url", "string"), ("mandatory", "boolean"), ("length", "bigint")])
 
 

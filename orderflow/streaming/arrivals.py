@@ -41,6 +41,9 @@ def route_stream(
         spark = batch.sparkSession
         parsed = batch if payload is None else events.parse_events(
             batch, payload, run_date or dt.date.today())
+        parsed_path = f"{root}/parsed/batch_id={batch_id}"
+        parsed.write.mode("overwrite").parquet(parsed_path)
+        parsed = spark.read.schema(parsed.schema).parquet(parsed_path)
         locks = spark.read.parquet(f"{root}/locks/batch_{batch_id - 1}") if batch_id else None
         routed_path = f"{root}/routed/batch_id={batch_id}"
         events.route_events(parsed, bucket, prefixes, ts, ident, ttl_seconds, locks).write.mode(
