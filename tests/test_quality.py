@@ -1,0 +1,84 @@
+import pytest
+
+from orderflow.operators import quality
+from orders import VALID, raw
+
+REJECTED = [
+    ({"order_id": None}, "order_id is null"),
+    ({"customer_id": None}, "customer_id is null"),
+    ({"order_date": None}, "order_date is null"),
+    ({"order_status": "InvalidStatus"}, "invalid order_status"),
+    ({"order_status": " Shipped "}, "invalid order_status"),
+    ({"order_status": "shipped"}, "invalid order_status"),
+    ({"quantity": "0"}, "quantity <= 0 or non-numeric"),
+    ({"quantity": "-1"}, "quantity <= 0 or non-numeric"),
+    ({"quantity": "abc"}, "quantity <= 0 or non-numeric"),
+    ({"quantity": None}, "quantity <= 0 or non-numeric"),
+    ({"quantity": "0.9"}, "quantity <= 0 or non-numeric"),
+    ({"quantity": "1e3"}, "quantity <= 0 or non-numeric"),
+    ({"quantity": "3000000000"}, "quantity <= 0 or non-numeric"),
+    ({"unit_price": "-10.00"}, "unit_price < 0 or non-numeric"),
+    ({"unit_price": "n/a"}, "unit_price < 0 or non-numeric"),
+    ({"unit_price": None}, "unit_price < 0 or non-numeric"),
+    ({"discount": "1.50"}, "discount out of [0, 1] range"),
+    ({"discount": "-0.10"}, "discount out of [0, 1] range"),
+    ({"discount": "NaN"}, "discount out of [0, 1] range"),
+    ({"order_id": None, "quantity": "0"}, "order_id is null"),
+]
+ACCEPTED = [
+    {}, {"discount": "0.0"}, {"discount": "1"}, {"discount": None}, {"discount": "n/a"},
+    {"order_status": None}, {"order_id": ""}, {"unit_price": "0"}, {"unit_price": "NaN"},
+    {"unit_price": "Infinity"}, {"quantity": " 3 "}, {"quantity": "2.5"}, {"order_date": "2024-02-30"},
+    *[{"order_status": s} for s in quality.ORDER_STATUSES],
+]
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_first_failing_rule_names_the_row(spark, ansi):
+    tagged = quality.tag(raw(spark, *[{"city": str(i), **c} for i, (c, _) in enumerate(REJECTED)]))
+    found = {int(r["city"]): r["_dq_failure"] for r in tagged.collect()}
+    assert [found[i] for i in range(len(REJECTED))] == [reason for _, reason in REJECTED]
+
+
+def test_good_rows_pass(spark, ansi):
+    tagged = quality.tag(raw(spark, *[{"city": str(i), **c} for i, c in enumerate(ACCEPTED)]))
+    assert [r for r in tagged.collect() if r["_dq_failure"] is not None] == []
+
+
+def test_split_is_complete(spark):
+    tagged = quality.tag(raw(spark, {}, {"order_id": None}, {"quantity": "0"}))
+    valid, rejected = quality.split(tagged)
+    assert (valid.count(), rejected.count()) == (1, 2)
+    assert "_dq_failure" not in valid.columns and "_dq_failure" in rejected.columns
+
+
+def test_gate_raises_only_above_the_limit(spark):
+    tagged = quality.tag(raw(spark, *[{}] * 80, *[{"quantity": "0"}] * 20))
+    counts = quality.gate(tagged, 20.0)
+    assert (counts.total, counts.rejected, counts.reject_pct) == (100, 20, 20.0)
+    assert counts.by_reason == {"quantity <= 0 or non-numeric": 20}
+    with pytest.raises(quality.GateFailed):
+        quality.gate(tagged, 19.99)
+
+
+def test_gate_on_nothing_passes_with_both_schemas(spark):
+    tagged = quality.tag(raw(spark).limit(0))
+    assert quality.gate(tagged).total == 0
+    assert quality.gate_report(tagged).first()["verdict"] == "PASS"
+    valid, rejected = quality.split(tagged)
+    assert valid.columns == list(VALID) and rejected.columns == [*VALID, "_dq_failure"]
+
+
+def test_gate_scans_only_the_ruled_columns(spark, tmp_path):
+    raw(spark).write.parquet(str(tmp_path / "raw"))
+    tagged = quality.tag(spark.read.parquet(str(tmp_path / "raw")))
+    plan = quality.profile(tagged)._jdf.queryExecution().executedPlan().toString()
+    schema = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert "order_id" in schema and "region" not in schema and "product_name" not in schema
