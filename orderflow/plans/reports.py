@@ -19,8 +19,15 @@ _SUM = "decimal(24,2)"
 
 
 def trailing_window(fact: DataFrame, as_of: dt.date, days: int = SUMMARY_DAYS) -> DataFrame:
-    """Rows from ``days`` before ``as_of`` on; there is no upper bound."""
-    return fact.filter(F.col("order_date") >= F.lit(as_of - dt.timedelta(days=days)))
+    """Rows from ``days`` before ``as_of`` on; there is no upper bound.
+
+    The month condition follows from the date condition. It is stated because the target is
+    partitioned by year and month, so that older directories are not opened.
+    """
+    start = as_of - dt.timedelta(days=days)
+    month = F.col("order_year") * 12 + F.col("order_month")
+    return fact.filter(
+        (F.col("order_date") >= F.lit(start)) & (month >= start.year * 12 + start.month))
 
 
 def late_count(flag: str = "is_late_shipment") -> Column:
@@ -95,11 +102,12 @@ def load_check(fact: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """Rows, NULLs, min, max and distinct values per column, values compared as text.
 
-    The exact form first counts each (column, value) pair, which combines before the shuffle,
-    so a value held by most rows is one row per input task. ``exact=False`` uses a sketch.
+    Distinct values are estimated by a sketch unless ``exact``. The exact form first counts each
+    (column, value) pair, which combines before the shuffle, so a value held by most rows is
+    one row per input task.
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))

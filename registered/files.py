@@ -162,7 +162,7 @@ _PROFILED = ["order_id", "customer_id", "order_status", "region", "channel", "or
     count(distinct {c}) as distinct_count, min(cast({c} as string)) as min_value,
     max(cast({c} as string)) as max_value from clean""" for c in _PROFILED)))
 def table_statistics(spark, sf_dir):
-    return reports.column_profile(clean_orders(spark, sf_dir), _PROFILED)
+    return reports.column_profile(clean_orders(spark, sf_dir), _PROFILED, exact=True)
 
 
 _PUBLISHED = ["order_line_sk", "order_id", "customer_id", "product_id", "order_status", "order_date",

@@ -1,0 +1,123 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from orderflow.operators import conform as cf
+from orderflow.operators import dims
+from orderflow.operators.transform import transform
+from orderflow.plans import reports
+from orderflow.schemas import DIM_DATE, FACT
+from orders import CTX, raw
+
+D = dt.date
+
+
+def customers(spark):
+    return spark.createDataFrame([
+        (1, "CUST-0001", "old", D(2020, 1, 1), D(2024, 1, 15), False),
+        (2, "CUST-0001", "new", D(2024, 1, 15), dims.OPEN_END, True),
+        (3, "CUST-0002", "only", D(2023, 1, 1), dims.OPEN_END, True),
+    ], "customer_sk bigint, customer_id string, customer_segment string, effective_from date, "
+       "effective_to date, is_current boolean")
+
+
+def test_calendar(spark):
+    cal = dims.dim_date(spark, D(2024, 2, 1))
+    assert cal.count() == 18_628
+    assert [(f.name, f.dataType) for f in cal.schema] == [(f.name, f.dataType) for f in DIM_DATE]
+    r = cal.filter("full_date = '2024-12-30'").first()  # a Monday of ISO week 1 of 2025
+    assert (r["date_sk"], r["week_of_year"], r["day_of_week"], r["is_weekend"]) == (20241230, 1, 1, False)
+    july = dims.dim_date(spark, D(2024, 2, 1), fiscal_start_month=7).filter("full_date = '2024-07-01'").first()
+    assert (july["fiscal_year"], july["fiscal_quarter"], july["fiscal_month"]) == (2025, 1, 1)
+
+
+def test_versions_are_half_open(spark):
+    orders = spark.createDataFrame(
+        [("a", "CUST-0001", D(2024, 1, 14)), ("b", "CUST-0001", D(2024, 1, 15)),
+         ("c", "CUST-0001", D(2019, 1, 1)), ("d", "CUST-9", D(2024, 1, 1)), ("e", "CUST-0002", None)],
+        "order_id string, customer_id string, order_date date")
+    found = dims.lookup_customer(orders, customers(spark)).collect()
+    assert {r["order_id"]: r["customer_sk"] for r in found} == {"a": 1, "b": 2, "c": -1, "d": -1, "e": -1}
+
+
+def test_overlaps_are_found(spark):
+    assert dims.overlapping_versions(customers(spark)).count() == 0
+    early = customers(spark).withColumn("effective_from", F.date_sub("effective_from", 1))
+    assert [r["customer_sk"] for r in dims.overlapping_versions(early).collect()] == [2]
+
+
+def test_scd2_merge_twice_changes_nothing(spark):
+    snapshot = spark.createDataFrame(
+        [("CUST-0001", "newer"), ("CUST-0002", "only"), ("CUST-0003", None)],
+        "customer_id string, customer_segment string")
+    once = dims.scd2_merge(customers(spark), snapshot, D(2024, 2, 1), attributes=["customer_segment"])
+    rows = {r["customer_sk"]: r for r in once.collect()}
+    assert sorted(rows) == [1, 2, 3, 4, 5]
+    assert (rows[2]["effective_to"], rows[2]["is_current"]) == (D(2024, 2, 1), False)
+    opened = {rows[k]["customer_id"]: rows[k]["customer_segment"] for k in (4, 5)}
+    assert opened == {"CUST-0001": "newer", "CUST-0003": None}
+    assert dims.overlapping_versions(once).count() == 0
+    twice = dims.scd2_merge(once, snapshot, D(2024, 3, 1), attributes=["customer_segment"])
+    assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
+
+
+def test_surrogate_keys_are_dense(spark):
+    existing = spark.createDataFrame([(41,)], "sk bigint")
+    keyed = dims.assign_surrogate_keys(
+        spark.range(5000).select(F.concat(F.lit("n"), "id").alias("n")).repartition(7), "n", "sk", existing)
+    assert sorted(r["sk"] for r in keyed.collect()) == list(range(42, 5042))
+
+
+def test_conform(spark):
+    clean = transform(raw(spark, {"customer_id": "C" * 80, "product_id": "P"}), CTX)
+    fact = cf.conform(clean, customers(spark), None, dims.dim_date(spark, CTX.as_of))
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in FACT]
+    r = fact.first()
+    assert (r["customer_sk"], r["product_sk"], r["order_date_sk"], r["ship_date_sk"]) == (
+        -1, -1, 20240115, 20240117)
+    assert len(r["customer_id"]) == 50 and len(r["order_line_sk"]) == 32
+    assert r["discount_amount"] == Decimal("200.00") and r["discount"] == Decimal("0.1000")
+
+
+def test_contract_names_the_first_missing_column(spark):
+    clean = transform(raw(spark, {"order_id": "a", "order_date": "2024-02-30"},
+                          {"order_id": "b", "order_status": None}, {"order_id": "c", "unit_price": "NaN"},
+                          {"order_id": "d"}), CTX)
+    tagged = cf.tag_violations(cf.conform(clean))
+    assert {r["order_id"]: r["_dq_failure"] for r in tagged.collect()} == {
+        "a": "contract:order_date is null", "b": "contract:order_status is null",
+        "c": "contract:unit_price is null", "d": None}
+    counts = {r["column_name"]: r["null_count"] for r in cf.violation_counts(cf.conform(clean)).collect()}
+    assert counts["order_date"] == counts["order_year"] == counts["unit_price"] == 1 and counts["order_id"] == 0
+
+
+def test_views_from_sql(spark):
+    clean = transform(raw(spark), CTX)
+    reports.register_views(spark, clean, customers(spark))
+    assert spark.sql("select late_shipment_pct from v_monthly_revenue").first()[0] == 0.0
+    assert spark.sql("select * from v_current_customers").count() == 2
+
+
+def test_safe_ratio_over_nothing_is_null(spark):
+    assert transform(raw(spark), CTX).limit(0).agg(reports.late_pct().alias("p")).first()["p"] is None
+
+
+def test_unique_orders_gives_the_same_summary(spark):
+    clean = transform(raw(spark, *[{"order_id": f"O{i}", "customer_id": f"C{i % 5}", "region": f"r{i % 3}"}
+                                   for i in range(60)]), CTX)
+    as_of = D(2024, 2, 1)
+    assert sorted(reports.summary(clean, as_of, unique_orders=True).collect()) == sorted(
+        reports.summary(clean, as_of).collect())
+    plan = reports.summary(clean, as_of, unique_orders=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_summary_opens_only_the_months_it_covers(spark, tmp_path):
+    clean = transform(raw(spark, *[{"order_id": str(m), "order_date": f"2024-{m:02d}-10"} for m in range(1, 13)]), CTX)
+    clean.write.partitionBy("order_year", "order_month").parquet(str(tmp_path / "f"))
+    report = reports.summary(spark.read.parquet(str(tmp_path / "f")), D(2024, 12, 31))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "order_year" in pruned and "order_month" in pruned
+    assert sorted(r["order_month"] for r in report.collect()) == [10, 11, 12]
