@@ -33,14 +33,18 @@ from registered.sample import (
 )
 from orderflow.operators import transform as tr
 
-SUMMARY_SQL = """select order_year, order_month, order_quarter, product_category, region, channel,
+# Rounded half up on whole numbers: a quotient such as 403 / 40 = 10.075 lies on the edge, and
+# DuckDB's round of the double (10.07) loses the tie.
+_ROUNDED_AVG = """cast(sign(sum(days_to_ship))
+    * ((abs(sum(days_to_ship)) * 200 + count(days_to_ship)) // (2 * count(days_to_ship))) as double) / 100"""
+SUMMARY_SQL = f"""select order_year, order_month, order_quarter, product_category, region, channel,
     count(distinct order_id) as order_count, count(distinct customer_id) as customer_count,
     cast(sum(quantity) as bigint) as total_units,
     cast(round(sum(gross_revenue), 2) as decimal(24,2)) as total_gross_revenue,
     cast(round(sum(net_revenue), 2) as decimal(24,2)) as total_net_revenue,
-    round(avg(days_to_ship), 2) as avg_days_to_ship,
+    {_ROUNDED_AVG} as avg_days_to_ship,
     cast(sum(case when is_late_shipment then 1 else 0 end) as bigint) as late_shipments
-    from {source} where order_date >= date '2001-08-01' - 90 group by all"""
+    from {{source}} where order_date >= date '2001-08-01' - 90 group by all"""
 
 
 @query(with_(CLEAN_SQL, SUMMARY_SQL.format(source="clean")))
