@@ -127,7 +127,7 @@ def accepted_arrivals(
     )
 
 
-def mark_repeats(
+def dedup_ttl(
     df: DataFrame,
     key: str,
     ts: str,

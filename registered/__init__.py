@@ -1,6 +1,6 @@
 """The queries of the driver contract and their reference SQL, by family.
 
-A query is registered with ``@query(sql)``; its key is the function name.
+A query is registered with ``@query(sql)``; its key is the function name unless ``name`` is given.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            ORACLES[fn.__name__] = sql
+            ORACLES[key] = sql
         return fn
     return register

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from orderflow.operators import quality
 from orderflow.sources.workdir import fresh_dir
 from orderflow.sources.writers import write_rejected

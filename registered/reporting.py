@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from orderflow.operators import dims, upsert
@@ -25,7 +23,6 @@ from registered.sample import (
     customers_source,
     dim_customer,
     dim_product,
-    raw_lines,
     table,
     valid_orders,
     wave_orders,

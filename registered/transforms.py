@@ -30,7 +30,6 @@ from registered.sample import (
     RUN_DATE,
     arrivals,
     clean_orders,
-    raw_lines,
     raw_orders,
     sql_date,
     sql_dedup,
@@ -105,8 +104,9 @@ def dedup_latest_line_grain(spark, sf_dir):
     partition by order_id order by ship_date desc nulls last, net_revenue desc nulls last,
     customer_id desc nulls last, order_date desc nulls last, sales_rep_id desc nulls last,
     channel desc nulls last, quantity desc nulls last, product_id desc nulls last) as _rn
-    from enriched) where _rn = 1)""", f"select {', '.join(_LINE)}, ship_date from kept"))
-def dedup_latest_by_shipment(spark, sf_dir):
+    from enriched) where _rn = 1)""", f"select {', '.join(_LINE)}, ship_date from kept"),
+       name="dedup_latest")
+def newest_shipment(spark, sf_dir):
     """Newest shipment per order; the order list is a parameter, the rest are tie-breakers."""
     typed = tr.enrich(valid_orders(spark, sf_dir), CTX).select(
         "order_id", "customer_id", "order_date", "sales_rep_id", "channel", "quantity",

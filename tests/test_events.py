@@ -83,7 +83,7 @@ def arrivals(spark, rows):
 
 def test_time_to_live_counts_from_the_last_accepted(spark):
     rows = [("k", s, i) for i, s in enumerate((0, 10, 90000, 100000, 180001))]
-    marked = events.mark_repeats(arrivals(spark, rows), "key", "ts", ["ident"])
+    marked = events.dedup_ttl(arrivals(spark, rows), "key", "ts", ["ident"])
     assert {r["ident"] for r in marked.collect() if r["is_accepted"]} == {0, 2, 4}
 
 
@@ -93,7 +93,7 @@ def test_repeats_against_brute_force_with_a_hot_key(spark, seed):
     rows = [("hot" if rng.random() < .4 else f"k{rng.randrange(40)}", rng.randrange(500_000), i)
             for i in range(3000)]
     locks = {"hot": 1000, "k1": 40_000}
-    marked = events.mark_repeats(
+    marked = events.dedup_ttl(
         arrivals(spark, rows), "key", "ts", ["ident"], 7200,
         spark.createDataFrame(list(locks.items()), "key string, second bigint"))
     assert marked.count() == len(rows)
