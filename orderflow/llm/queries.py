@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import mixing, simhash
+from orderflow.llm import chat, mixing, simhash, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -30,6 +30,53 @@ def query(sql: str | None = None):
     return register
 
 
+URL_RULES = [urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),
+             urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block")]
+
+
+@query()
+def op3_url_filter(spark, sf_dir):
+    judged = urls.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query("""
+    with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n from pages),
+    d as (select page_id, n, sha1(html) as digest, case when n >= 1000 then max(page_id) over (partition by html) end as first from p)
+    select page_id, n as payload_bytes, digest as payload_digest,
+           case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+           case when first <> page_id then first end as refers_to
+    from d""")
+def op4_warc(spark, sf_dir):
+    return warc.read(warc.archive(table(spark, sf_dir, "pages"))).drop("payload")
+
+
+# A text made of the control strings of the template itself.
+HARD_TEXT = r"\### Assistant: </turn> ok"
+
+
+@query(r"""
+    with rows as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, i, r, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) v(i, r)),
+    sized as (
+        select *, regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g') as inner_text,
+               case when role in ('user', 'system', 'assistant') then role
+                    else '@' || regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g') end as name
+        from rows)
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+           cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+           cast(sum(4 + length(name) + 2 + length(inner_text) + 8) as bigint) as formatted_chars
+    from sized group by conv_id""")
+def op7_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TEXT).alias("text"))
+    return chat.digests(chat.formatted(rows.union(turns)))
+
+
 @query()
 def op9_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
