@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, mixing, simhash, urls, warc
+from orderflow.llm import chat, classifier, contamination, mixing, simhash, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -30,6 +30,20 @@ def query(sql: str | None = None):
     return register
 
 
+@query(r"""
+    with docs as (select doc_id as id, text from documents), items as (select item_id as id, text from benchmark),
+    doc_words as (select id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from docs),
+    item_words as (select id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from items),
+    doc_shingles as (select distinct id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s from doc_words where len(w) > 0),
+    item_shingles as (select distinct id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s from item_words where len(w) > 0),
+    sizes as (select id, count(*) as n from item_shingles group by id),
+    shared as (select d.id as doc_id, i.id as item_id, count(*) as n from doc_shingles d join item_shingles i using (s) group by all)
+    select doc_id, item_id, shared.n as n_shared, sizes.n as n_item, cast(shared.n as double) / sizes.n as containment
+    from shared join sizes on sizes.id = item_id where 5 * shared.n >= 4 * sizes.n""")
+def op1_decontamination(spark, sf_dir):
+    return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 URL_RULES = [urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),
              urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block")]
 
@@ -51,6 +65,12 @@ def op4_warc(spark, sf_dir):
     return warc.read(warc.archive(table(spark, sf_dir, "pages"))).drop("payload")
 
 
+@query()
+def op5_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classifier.classified(docs).select("doc_id", "quality_score", "good")
+
+
 # A text made of the control strings of the template itself.
 HARD_TEXT = r"\### Assistant: </turn> ok"
 
