@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, classifier, contamination, mixing, simhash, urls, warc
+from orderflow.llm import chat, classifier, contamination, mixing, ngram_trie, perplexity, simhash, substrings, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -44,6 +44,11 @@ def op1_decontamination(spark, sf_dir):
     return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op2_lm_scoring(spark, sf_dir):
+    return ngram_trie.evaluated(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),
              urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block")]
 
@@ -71,6 +76,25 @@ def op5_quality_classifier(spark, sf_dir):
     return classifier.classified(docs).select("doc_id", "quality_score", "good")
 
 
+@query("""
+    with d as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+    w as (select doc_id, pos, substr(x, 2 * pos + 1, 100) as s
+          from (select doc_id, x, unnest(range(0, length(x) // 2 - 49)) as pos from d where length(x) >= 100)),
+    m as (select s, min(doc_id) as least from w group by s),
+    hits as (select doc_id, pos from w join m using (s) where least < doc_id),
+    marked as (select *, case when pos <= 50 + lag(pos) over (partition by doc_id order by pos) then 0 else 1 end as new from hits),
+    numbered as (select *, sum(new) over (partition by doc_id order by pos) as run from marked),
+    runs as (select doc_id, run, min(pos) as low, max(pos) + 50 as high from numbered group by all),
+    ends as (select doc_id, low, high from runs union all select doc_id, length(x) // 2, length(x) // 2 from d),
+    gaps as (select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low, high), 0) as before from ends)
+    select doc_id, any_value(length(x) // 2) as n_bytes, cast(sum(high - low) as bigint) as n_removed, count(*) filter (high > low) as n_spans,
+           sha256(unhex(string_agg(substr(x, 2 * before + 1, 2 * (low - before)), '' order by low, high))) as kept_sha256
+    from gaps join d using (doc_id) group by doc_id""")
+def op6_substring_dedup(spark, sf_dir):
+    found = substrings.removed(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # A text made of the control strings of the template itself.
 HARD_TEXT = r"\### Assistant: </turn> ok"
 
@@ -97,6 +121,11 @@ def op7_chat_format(spark, sf_dir):
     return chat.digests(chat.formatted(rows.union(turns)))
 
 
+@query()
+def op8_quality_rules(spark, sf_dir):
+    return perplexity.ruled(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
