@@ -34,14 +34,15 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed long."""
+    """(doc_id, text_hash, fp) of every row, fp as a signed long."""
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in texts(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in texts(batch.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 @lru_cache(1)
@@ -118,16 +119,21 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest doc_id that its fingerprint reaches over links.
-
-    Equal fingerprints meet before anything is compared, so copies cost one row. Texts without words (null,
-    empty, white space only) have fingerprint 0 and link like others. Repeated rows and ids are kept; a
-    component in which every id is null has a null component_id; an empty table gives no rows.
+    """(doc_id, text_hash, fp, component_id, first) of every row.
+
+    component_id is the smallest doc_id that a row's fingerprint reaches over links; ``first`` says that the row has
+    this id and, of texts that share it, the least hash, so it marks one text of each component. Equal fingerprints
+    meet before anything is compared, so copies cost one row. Texts without words (null, empty, white space only) have
+    fingerprint 0 and link like others. Repeated rows and ids are kept, and repetitions of a first row are first too;
+    a null id is larger than any other and gives a null component_id where no row has an id; an empty table gives no
+    rows.
     """
     fps = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    key = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    distinct = fps.groupBy("fp").agg(F.min(key).alias("least"))
     roots = components(links(distinct, max_bits))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(known, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("least").alias("chief"))
+    known = rooted.join(least, "root").select("fp", "chief")
+    first = F.col("doc_id").eqNullSafe(F.col("chief.id")) & (F.col("text_hash") == F.col("chief.hash"))
+    return fps.join(known, "fp").select("doc_id", "text_hash", "fp", F.col("chief.id").alias("component_id"), first.alias("first"))

@@ -388,3 +388,22 @@ def _applied(rows: DataFrame, docs: DataFrame) -> DataFrame:
                                                  [*columns[:-3], *(f.name for f in more)])
 
     return rows.select(columns).mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+
+
+def deduplicated(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` with texts cut as ``removed`` says; rows of which nothing is left are gone.
+
+    A cut may fall inside a character; its other bytes go too, so texts stay UTF-8. Null text becomes empty; rows that
+    were empty stay.
+    """
+    found = removed(docs, length)
+    rest = [c for c in docs.columns if c != "text"]
+    at = found.columns.index("kept")
+
+    def decode(batches):
+        for batch in batches:
+            kept = pa.array([k.decode("utf-8", "ignore") for k in texts(batch.column(at))], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), kept], [*rest, "text"])
+
+    left = found.where("n_removed = 0 or n_removed < n_bytes")
+    return left.mapInArrow(decode, T.StructType([*(docs.schema[c] for c in rest), T.StructField("text", T.StringType())])).select(docs.columns)
