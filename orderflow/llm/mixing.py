@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.text import WORD, texts
+from orderflow.llm.text import texts
 from orderflow.sources.workdir import stored
 
 # Parts of a source whose running offsets are summed apart, so that a source with a third of all rows is no single task.
@@ -69,21 +71,32 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size, ``skey`` (the source without null) and ``chunk``; ``keep`` names further columns."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    """doc_id, source, size, ``skey`` (the source without null) and ``chunk``; ``keep`` may name the text."""
+
+    def count(batches):
+        for batch in batches:
+            sizes = pa.array([len(t.split()) for t in texts(batch.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), sizes, *(batch.column(c) for c in keep)],
+                                             ["doc_id", "source", "size", *keep])
+
+    schema = "doc_id long, source string, size long" + "".join(f", {c} string" for c in keep)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").mapInArrow(count, schema)
     key = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source"))
-    return docs.select("doc_id", "source", size.alias("size"), key.alias("skey"), *keep).withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(CHUNKS)).cast("int"))
+    return rows.withColumn("skey", key).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(CHUNKS)).cast("int"))
 
 
-def offsets(rows: DataFrame) -> DataFrame:
-    """Adds ``start``, the words of the same source before a row. Rows with words have distinct starts within a source."""
-    totals = rows.groupBy("skey", "chunk").agg(F.sum("size").alias("words"))
+def chunk_bases(rows: DataFrame) -> DataFrame:
+    """skey, chunk, base: the words of a source in the chunks before, of which it has a bounded number."""
     before = Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("skey", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
+    totals = rows.groupBy("skey", "chunk").agg(F.sum("size").alias("words"))
+    return totals.select("skey", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
+
+
+def offsets(rows: DataFrame, bases: DataFrame) -> DataFrame:
+    """Adds ``start``, the words of the same source before a row. Rows with words have distinct starts within a source."""
     order = Window.partitionBy("skey", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    return inside.join(totals, ["skey", "chunk"]).withColumn("start", F.col("start") + F.col("base")).drop("base", "chunk")
+    return inside.join(bases, ["skey", "chunk"]).withColumn("start", F.col("start") + F.col("base")).drop("base", "chunk")
 
 
 def pieces(packed: DataFrame, block_words: int) -> DataFrame:
@@ -147,35 +160,67 @@ def slots(spark, per: pd.DataFrame, block_words: int, shard_blocks: int, seed: i
     return made.repartition(max(1, min(len(rows), 64)), "g").mapInPandas(fill, "shard long, slot long, skey string, block long, epoch long")
 
 
+@dataclass(frozen=True)
+class Mix:
+    """``packed``: doc_id, source, size, skey, start of every document. ``sources``: skey, words, weight, target.
+    ``slots``: shard, slot, skey, block, epoch. ``bases``: words before each chunk of a source."""
+
+    packed: DataFrame
+    sources: DataFrame
+    slots: DataFrame
+    bases: DataFrame
+    block_words: int
+
+    def parts(self) -> DataFrame:
+        """The parts of documents in each slot: skey, source, block, start, doc_id, from_word, n_words, shard, slot, epoch."""
+        return pieces(self.packed, self.block_words).join(self.slots, ["skey", "block"])
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), limit: float = 3.0, block_words: int = 64,
-        shard_blocks: int = 8192, seed: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+        shard_blocks: int = 8192, seed: int = 10) -> Mix:
     """Documents' words packed into blocks and drawn into shards by source.
 
-    Returns (packed, sources, mixed). packed: a row per document with doc_id, source, skey, size, start. sources:
-    a row per source with skey, words, weight, target (one row each is what the driver holds). mixed: shard, slot,
-    skey, source, block, epoch, start, doc_id, from_word, n_words - the parts of documents in each slot. Null text has size 0
-    and is in no block; a null source is a source, the last; equal rows are packed one after the other; an empty
-    table gives empty results.
+    The driver holds one row per source. Null text has size 0 and is in no block; a null source is a source, the
+    last; equal rows are packed one after the other; an empty table gives empty results. All that grows is written
+    to the shared folder, so joins know its size and lost executors do not repeat it.
     """
     spark = docs.sparkSession
-    packed = stored(offsets(sized(docs)), "packed")
+    rows = stored(sized(docs), "sizes")
+    bases = chunk_bases(rows)
+    packed = stored(offsets(rows, bases), "packed")
     per = plan(packed, weights, limit)
-    filled = slots(spark, per, block_words, shard_blocks, seed)
-    mixed = pieces(packed, block_words).join(filled, ["skey", "block"])
-    return packed, spark.createDataFrame(per, "skey string, words long, weight double, target double"), mixed
+    filled = stored(slots(spark, per, block_words, shard_blocks, seed), "slots")
+    return Mix(packed, spark.createDataFrame(per, "skey string, words long, weight double, target double"), filled, bases, block_words)
 
 
-def with_text(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The mix with the words of each part, single-spaced, as column ``text``. Rows: shard, slot, epoch, source, doc_id, from_word, n_words, text."""
+def with_text(docs: DataFrame, mixed: Mix) -> DataFrame:
+    """The mix with the words of each part, single-spaced, as column ``text``: shard, slot, epoch, source, doc_id, from_word, n_words, text.
+
+    Each document is cut once, and its parts are joined with the slots that take their blocks.
+    """
+    n_words = mixed.block_words
 
     def cut(batches):
         for batch in batches:
-            out = []
-            for text, low, n in zip(texts(batch.column("text")), batch.column("from_word").to_pylist(), batch.column("n_words").to_pylist()):
-                out.append(b" ".join(text.split()[low : low + n]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.binary()).cast(pa.string())], [*names, "text"])
-
-    names = ["shard", "slot", "epoch", "source", "doc_id", "from_word", "n_words"]
-    whole = offsets(sized(docs, ("text",))).select("skey", "start", "text").where("size > 0")
-    parts = mixed.join(whole, ["skey", "start"]).select(*names, "text")
-    return parts.mapInArrow(cut, "shard long, slot long, epoch long, source string, doc_id long, from_word long, n_words long, text string")
+            rows = []
+            for key, source, doc, start, text in zip(*(batch.column(c).to_pylist() for c in ("skey", "source", "doc_id", "start")), texts(batch.column("text"))):
+                words, low = text.split(), 0
+                while low < len(words):
+                    block = (start + low) // n_words
+                    high = min(len(words), (block + 1) * n_words - start)
+                    rows.append((key, source, block, doc, low, high - low, b" ".join(words[low:high])))
+                    low = high
+                    if len(rows) == 4096:
+                        yield made(rows)
+                        rows = []
+            yield made(rows)
+
+    def made(rows):
+        columns = zip(*rows) if rows else [[]] * 7
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names).cast(pa.schema([*zip(names, types[:-1]), ("text", pa.string())]))
+
+    names = ["skey", "source", "block", "doc_id", "from_word", "n_words", "text"]
+    whole = offsets(sized(docs, ("text",)), mixed.bases).where("size > 0").select("skey", "source", "doc_id", "start", "text")
+    parts = whole.mapInArrow(cut, "skey string, source string, block long, doc_id long, from_word long, n_words long, text string")
+    return parts.join(mixed.slots, ["skey", "block"]).select("shard", "slot", "epoch", "source", "doc_id", "from_word", "n_words", "text")

@@ -134,8 +134,9 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 @query()
 def op10_source_mixing(spark, sf_dir):
-    packed, sources, mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    taken = mixed.groupBy("skey", "start").agg(F.sum("n_words").alias("taken"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    packed = mixed.packed
+    taken = mixed.parts().groupBy("skey", "start").agg(F.sum("n_words").alias("taken"))
     rows = packed.where("size > 0").join(taken, ["skey", "start"], "left").unionByName(packed.where("size = 0").withColumn("taken", F.lit(0)))
-    totals = sources.select("skey", F.col("words").alias("source_size"), "target")
+    totals = mixed.sources.select("skey", F.col("words").alias("source_size"), "target")
     return rows.join(totals, "skey").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
