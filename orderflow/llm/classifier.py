@@ -233,4 +233,4 @@ def classified(docs: DataFrame, limit: float = 0.5, sample_rows: int = 4000) ->
     equal texts get equal scores; an empty table gives no rows. Columns of these two names are replaced.
     """
     _, scorer = fit(docs, sample_rows)
-    return scored(docs, scorer).withColumn("good", F.col("quality_score") >= limit)
+    return scored(docs.drop("good"), scorer).withColumn("good", F.col("quality_score") >= limit)

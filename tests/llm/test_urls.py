@@ -1,0 +1,74 @@
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from orderflow.llm import urls
+from orderflow.llm.queries import URL_RULES
+
+PAGES, LABELS = "page_id long, url string, html string, host string", "doc_id long, quality int, toxic int"
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3 :]
+    cut = next((i for i, c in enumerate(rest) if c in "/?#"), len(rest))
+    path = rest[cut:]
+    end = next((i for i, c in enumerate(path) if c in "?#"), len(path))
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut]), path[:end]
+
+
+def rule(host, path):
+    fits = [r.text for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=len, default=None)
+
+
+URLS = [None, "", "no scheme", "http://", "http://EXAMPLE.org", "http://example.org/", "https://É.A.example.org/es/x?y#z", "x://notexample.org/es/1", "http://example.org/en/12",
+        "http://a.com/fr/1", "http://a.com/de/", "http://com/de/9", "http://a.com?x=/fr/", "http://a.com#/de/", "a://b://c.org/d", "http://x.net/\n/y", "http://xcom/fr/1", "http://org/"]
+
+
+def frames(spark, rows, labels):
+    return spark.createDataFrame([(i, u, "", "clash") for i, u in rows], PAGES), spark.createDataFrame(labels, LABELS)
+
+
+def test_hosts_paths_and_rules(spark):
+    pages, labels = frames(spark, list(enumerate(URLS)), [])
+    rows = urls.judged(pages, labels, URL_RULES).collect()
+    assert len(rows) == len(URLS)
+    for r in rows:
+        host, path = split(URLS[r.page_id])
+        assert (r.host, r.path) == (host, path) and r.rule == rule(host, path), r
+        if r.rule:
+            assert r.verdict == ("block" if r.rule in ("example.org/es/", "example.org/en/1", "com/de/") else "allow")
+
+
+def test_impure_templates_are_blocked_and_clean_ones_stay(spark):
+    rng = random.Random(1)
+    rows = [(i, f"http://shop.net/{'deals' if i % 2 else 'items'}/{rng.randint(1, 10**6)}.html") for i in range(400)]
+    rows += [(1000 + i, f"http://news.net/{rng.choice(['a', 'b', 'c'])}/{i}") for i in range(300)]
+    rows += [(2000 + i, f"http://blog.net/post/{rng.choice('abcdefghij')}{i}x") for i in range(200)]
+    labels = [(i, 0 if i < 400 and i % 2 else 1, 0) for i, _ in rows if i % 3]
+    judged = urls.judged(*frames(spark, rows, labels), URL_RULES).collect()
+    verdicts = Counter((r.host, r.template, r.verdict) for r in judged)
+    assert verdicts == {("shop.net", "/deals/*.html", "block"): 200, ("shop.net", "/items/*.html", "allow"): 200,
+                        ("news.net", "/{*}/*", "allow"): 300, ("blog.net", "/post/*", "allow"): 200}
+
+
+def test_repeated_rows_null_labels_and_empty_tables(spark):
+    pages, labels = frames(spark, [(1, "http://a.net/x"), (1, "http://a.net/x"), (None, "http://a.net/x")], [(None, 0, 1), (1, None, None), (1, 0, 0), (1, 1, 0)])
+    assert urls.judged(pages, labels, URL_RULES).count() == 3
+    assert urls.judged(pages.limit(0), labels, URL_RULES).count() == 0
+    assert urls.judged(pages, labels.limit(0), []).where("verdict = 'allow'").count() == 3
+
+
+def test_plan_stays_in_the_jvm(spark):
+    pages, labels = frames(spark, list(enumerate(URLS)), [])
+    plan = urls.judged(pages, labels, URL_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_shapes(spark):
+    cases = {"/en/123.html": "en/*.html", "/en/123/": "en/*/", "/a/deadbeef01": "a/*", "": "", "/x1/y": "x1/y"}
+    frame = spark.createDataFrame([(k,) for k in cases], "p string").withColumn("s", F.concat_ws("/", urls.shape(F.col("p"))))
+    assert {r.p: r.s for r in frame.collect()} == cases
