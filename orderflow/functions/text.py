@@ -9,7 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts in a file key, in order of precedence.
+# Date layouts in a file key, in order of precedence. The hive layout is taken as one piece and
+# rewritten, so that one extraction does for three parts.
 HIVE_DATE = r"year=(\d{4}/month=\d{2}/day=\d{2})"
 DT_DATE = r"dt=(\d{4}-\d{2}-\d{2})"
 PLAIN_DATE = r"(\d{4}/\d{2}/\d{2})"
@@ -47,8 +48,9 @@ def partition_date(key: Column, run_date: Column) -> Column:
 
 
 def event_key_decode(key: Column) -> Column:
-    """URL-decoded key, '+' meaning a blank; a key with broken escapes is kept as it came."""
-    return F.coalesce(F.try_url_decode(key), F.replace(key, F.lit("+"), F.lit(" ")))
+    """URL-decoded key, '+' meaning a blank; a '%' that starts no escape stays as it is."""
+    return F.coalesce(
+        F.try_url_decode(F.regexp_replace(key, "%(?![0-9A-Fa-f]{2})", "%25")), F.replace(key, F.lit("+"), F.lit(" ")))
 
 
 def starts_with_any(c: Column, prefixes: Iterable[str]) -> Column:
@@ -60,5 +62,5 @@ def ends_with_any(c: Column, suffixes: Iterable[str]) -> Column:
 
 
 def replace_invalid_chars(c: Column) -> Column:
-    """Bytes that are not UTF-8 become blanks."""
-    return F.replace(F.make_valid_utf8(c), F.lit("�"), F.lit(" "))
+    """Bytes that are not UTF-8 become blanks; valid text, U+FFFD included, stays as it is."""
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.replace(F.make_valid_utf8(c), F.lit("\uFFFD"), F.lit(" ")))

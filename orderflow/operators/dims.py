@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderflow.operators.dedup import dedup_latest
 from orderflow.schemas import DIM_DATE
 
 # Calendar range, key of an unmatched row, end of an open version.
@@ -16,8 +19,6 @@ CALENDAR_END = dt.date(2040, 12, 31)
 UNKNOWN_SK = -1
 OPEN_END = dt.date(9999, 12, 31)
 
-_NUMBERING_BUCKETS = 4096
-
 
 def date_key(date: Column) -> Column:
     """yyyyMMdd as an integer."""
@@ -88,14 +89,25 @@ def lookup_dates(df: DataFrame, calendar: DataFrame) -> DataFrame:
     return df.withColumn("order_date_sk", F.coalesce("order_date_sk", F.lit(UNKNOWN_SK)))
 
 
+def disjoint_versions(customers: DataFrame) -> DataFrame:
+    """Versions cut off where the customer's next one starts, so that a date falls into one at most.
+
+    Where versions overlap the later start wins; of those that start together, the one with the higher key.
+    """
+    later = Window.partitionBy("customer_id").orderBy("effective_from", "effective_to", "customer_sk")
+    return customers.withColumn(
+        "effective_to", F.least("effective_to", F.coalesce(F.lead("effective_from").over(later), F.col("effective_to"))))
+
+
 def lookup_customer(df: DataFrame, customers: DataFrame) -> DataFrame:
     """Key of the customer version in force on the order date; -1 when there is none.
 
-    Versions hold from ``effective_from`` up to but not including ``effective_to``. The
-    equality on customer_id makes this a hash or sort-merge join with the range as a residual.
+    Versions hold from ``effective_from`` up to but not including ``effective_to``; overlapping ones are cut first,
+    so no row is multiplied. The equality on customer_id makes this a hash or sort-merge join with the range as a
+    residual.
     """
-    versions = customers.select(
-        F.col("customer_id").alias("_cid"), "customer_sk", "effective_from", "effective_to")
+    versions = disjoint_versions(customers.select("customer_id", "customer_sk", "effective_from", "effective_to"))
+    versions = versions.withColumnRenamed("customer_id", "_cid")
     in_force = (
         (F.col("customer_id") == F.col("_cid"))
         & (F.col("order_date") >= F.col("effective_from"))
@@ -109,7 +121,9 @@ def lookup_customer(df: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def lookup_product(df: DataFrame, products: DataFrame) -> DataFrame:
-    return df.join(products.select("product_id", "product_sk"), "product_id", "left").withColumn(
+    """Key of the product, of several rows of one product the highest; -1 when there is none."""
+    known = products.groupBy("product_id").agg(F.max("product_sk").alias("product_sk"))
+    return df.join(known, "product_id", "left").withColumn(
         "product_sk", F.coalesce("product_sk", F.lit(UNKNOWN_SK).cast("bigint")))
 
 
@@ -123,6 +137,10 @@ def overlapping_versions(customers: DataFrame) -> DataFrame:
     )
 
 
+def repeated_products(products: DataFrame) -> DataFrame:
+    return products.groupBy("product_id").agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
+
+
 def current_customers(customers: DataFrame) -> DataFrame:
     return customers.filter("is_current")
 
@@ -158,6 +176,9 @@ def assign_surrogate_keys(df: DataFrame, natural_key: str, sk: str, existing: Da
     )
 
 
+VERSION_COLUMNS = ("effective_from", "effective_to", "is_current")
+
+
 def scd2_merge(
     dim: DataFrame,
     incoming: DataFrame,
@@ -168,20 +189,21 @@ def scd2_merge(
 ) -> DataFrame:
     """Versioned dimension after a new snapshot of the source.
 
-    A current version whose attributes differ is closed on ``as_of`` and followed by a new one;
-    unseen keys get their first version; keys missing from the snapshot stay as they are.
+    A current version whose attributes differ is closed on ``as_of`` and followed by a new one; unseen keys get
+    their first version; keys missing from the snapshot stay as they are. A new version has the snapshot's columns,
+    and those that the snapshot lacks from the version it follows. Of several snapshot rows of a key the greatest
+    counts, compared column by column. Raises when ``as_of`` lies before the start of a version to be closed.
     """
-    def fingerprint(prefix: str = "") -> Column:
-        # NULL and '' must differ, hence the marker.
-        return F.md5(F.concat_ws("\x1f", *[
-            F.coalesce(F.col(prefix + a).cast("string"), F.lit("\x00")) for a in attributes]))
-
+    snapshot = dedup_latest(incoming, [key], order_by=[])
+    named = [c for c in dim.columns if c not in (sk, *VERSION_COLUMNS)]
     current = dim.filter("is_current").select(
-        F.col(key).alias("_key"), fingerprint().alias("_old"))
-    compared = incoming.select(key, *attributes).join(
-        current, F.col(key) == F.col("_key"), "left")
-    changed = compared.filter(F.col("_key").isNull() | (F.col("_old") != fingerprint()))
-    fresh = changed.select(key, *attributes)
+        F.col(key).alias("_key"), F.col("effective_from").alias("_from"), *[F.col(c).alias(f"_old_{c}") for c in named])
+    compared = snapshot.join(current, F.col(key) == F.col("_key"), "left")
+    differs = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_old_{a}")) for a in attributes], F.lit(False))
+    changed = compared.filter(F.col("_key").isNull() | differs)
+    if changed.filter(F.col("_from") > F.lit(as_of)).take(1):
+        raise ValueError(f"a version to be closed starts after {as_of}")
+    fresh = changed.select(*[F.col(c if c in incoming.columns else f"_old_{c}").alias(c) for c in named])
     closing = changed.filter(F.col("_key").isNotNull()).select(key, F.lit(True).alias("_closes"))
 
     closes = F.col("is_current") & F.coalesce(F.col("_closes"), F.lit(False))
@@ -197,4 +219,4 @@ def scd2_merge(
         "effective_to": F.lit(OPEN_END),
         "is_current": F.lit(True),
     })
-    return history.unionByName(opened, allowMissingColumns=True)
+    return history.unionByName(opened)

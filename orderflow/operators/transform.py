@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderflow.context import RunContext
 from orderflow.functions import lower_trim, to_date, to_int, to_price, to_rate, upper_trim
 from orderflow.operators.dedup import dedup_latest
-from orderflow.schemas import AMOUNT, CLEAN, PRICE, RATE
+from orderflow.schemas import AMOUNT, CLEAN, PRICE, RATE, RAW
 
 # Fixed value: more days than this between order and shipment is late.
 SLA_DAYS = 7
@@ -87,4 +87,6 @@ def transform(
     """Clean orders: typed, enriched, one row per key."""
     if "_source_file" not in df.columns:
         df = df.withColumn("_source_file", F.lit(None).cast("string"))
-    return dedup_latest(enrich(df, ctx, sla_days).select(*CLEAN.names), keys)
+    # All other columns of a row follow from these, or are the same for the whole run.
+    ties = [*RAW.names, "_source_file"]
+    return dedup_latest(enrich(df, ctx, sla_days).select(*CLEAN.names), keys, ties=ties)

@@ -18,11 +18,13 @@ from registered.sample import (
     DIM_CUSTOMER_SQL,
     DIM_PRODUCT_SQL,
     ENRICHED_SQL,
+    RAW_SQL,
     WAVES_SQL,
     clean_orders,
     customers_source,
     dim_customer,
     dim_product,
+    raw_orders,
     table,
     valid_orders,
     wave_orders,
@@ -131,11 +133,18 @@ def conform_fact(spark, sf_dir):
     return fact.select(*_FACT)
 
 
-@query(with_(ENRICHED_SQL, """select order_id, product_id, sales_rep_id,
-    md5(concat_ws('#', order_id, product_id, sales_rep_id)) as order_line_sk from enriched"""))
+# Key parts that are missing, or hold the separator or the escape.
+_PARTS = {"order_id": "order_id", "line_ref": "case when quantity is null then null when quantity = '1' then '#' "
+          "else concat(sales_rep_id, '#', quantity) end", "sales_rep_id": "nullif(sales_rep_id, 'REP-1')"}
+_ESCAPED = " || '#' || ".join(
+    rf"coalesce(replace(replace({c}, '\', '\\'), '#', '\#'), '\N')" for c in _PARTS)
+
+
+@query(with_(RAW_SQL, f"""select *, md5({_ESCAPED}) as order_line_sk from (
+    select {', '.join(f'{e} as {c}' for c, e in _PARTS.items())} from raw_lines) parts"""))
 def conform_line_key(spark, sf_dir):
-    keys = ["order_id", "product_id", "sales_rep_id"]
-    return valid_orders(spark, sf_dir).select(*keys, line_key(keys).alias("order_line_sk"))
+    parts = raw_orders(spark, sf_dir).select(*[F.expr(e).alias(c) for c, e in _PARTS.items()])
+    return parts.withColumn("order_line_sk", line_key(list(_PARTS)))
 
 
 _REQUIRED = {"order_line_sk": "order_id", "customer_sk": "1", "product_sk": "1", "order_date_sk": "1",
@@ -222,34 +231,40 @@ def join_current_customer(spark, sf_dir):
     ).select("order_id", "customer_id", "net_revenue", "customer_name", "customer_segment")
 
 
-# Customers not yet in the dimension, and those whose segment changes.
+# Customers not yet in the dimension, and those whose segment changes. The snapshot names some customers twice, has a
+# new name for all, and lacks region, country and is_active, which a new version takes from the one it follows.
 _UNSEEN, _PROMOTED = "c_custkey % 11 = 0", "c_custkey % 5 = 0"
 _SNAPSHOT = f"case when {_PROMOTED} then 'VIP' else c_mktsegment end"
+_DIM_COLUMNS = ["customer_sk", "customer_id", "customer_name", "customer_segment", "region", "country", "is_active",
+                "effective_from", "effective_to", "is_current"]
 
 
 @query(with_(f"""{DIM_CUSTOMER_SQL},
     seen as (select * from dim_customer where cast(substr(customer_id, 6) as bigint) % 11 <> 0),
     incoming as (select concat('CUST-', cast(c_custkey as string)) as customer_id,
-        {_SNAPSHOT} as customer_segment from customer),
-    fresh as (select i.* from incoming i left join (select * from seen where is_current) s using (customer_id)
-        where s.customer_id is null or s.customer_segment <> i.customer_segment),
-    closed as (select s.customer_id from seen s join fresh using (customer_id) where is_current)""",
-    """select customer_sk, customer_id, customer_segment, effective_from,
+        {_SNAPSHOT} as customer_segment, concat(c_name, ' Ltd') as customer_name from customer),
+    compared as (select i.*, s.customer_id is null as is_new, s.region, s.country, s.is_active, s.customer_segment as old
+        from incoming i left join (select * from seen where is_current) s using (customer_id)),
+    fresh as (select * from compared where is_new or customer_segment <> old),
+    closed as (select customer_id from fresh where not is_new)""",
+    """select customer_sk, customer_id, customer_name, customer_segment, region, country, is_active, effective_from,
         case when is_current and customer_id in (from closed) then date '2001-08-01' else effective_to end
             as effective_to,
         is_current and customer_id not in (from closed) as is_current from seen
     union all
     select (select max(customer_sk) from seen)
         + row_number() over (order by substr(md5(customer_id), 1, 3), customer_id) as customer_sk,
-        customer_id, customer_segment, date '2001-08-01', date '9999-12-31', true from fresh"""))
+        customer_id, customer_name, customer_segment, region, country, is_active, date '2001-08-01', date '9999-12-31',
+        true from fresh"""))
 def scd2_merge(spark, sf_dir):
-    dim = dim_customer(spark, sf_dir).filter("cast(substr(customer_id, 6) as bigint) % 11 <> 0")
-    incoming = customers_source(spark, sf_dir).select(
+    dim = dim_customer(spark, sf_dir).filter("cast(substr(customer_id, 6) as bigint) % 11 <> 0").select(*_DIM_COLUMNS)
+    source = customers_source(spark, sf_dir)
+    incoming = source.select(
         F.expr("concat('CUST-', cast(c_custkey as string))").alias("customer_id"),
-        F.expr(_SNAPSHOT).alias("customer_segment"))
-    merged = dims.scd2_merge(dim, incoming, AS_OF, attributes=["customer_segment"])
-    return merged.select("customer_sk", "customer_id", "customer_segment", "effective_from",
-                         "effective_to", "is_current")
+        F.expr(_SNAPSHOT).alias("customer_segment"), F.expr("concat(c_name, ' Ltd')").alias("customer_name"))
+    # The lesser row of a pair must not count.
+    twice = incoming.filter("customer_id like '%3'").withColumn("customer_segment", F.lit("!"))
+    return dims.scd2_merge(dim, incoming.unionByName(twice), AS_OF, attributes=["customer_segment"]).select(*_DIM_COLUMNS)
 
 
 # ------------------------------------------------------------------ upsert and checks

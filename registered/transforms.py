@@ -182,13 +182,13 @@ def fn_strings(spark, sf_dir):
 
 @query(with_(EVENTS_SQL, """select event_id, key, partition_date,
     cast(try_strptime(partition_date, '%Y-%m-%d') as date) as calendar_date
-    from parsed where record_no = 0""", recursive=True))
+    from parsed where key is not null""", recursive=True))
 def fn_partition_date(spark, sf_dir):
     from orderflow.operators.events import parse_events
 
     key = F.col("key")
     text = partition_date(key, F.lit(RUN_DATE.isoformat()))
-    return parse_events(arrivals(spark, sf_dir), "payload", RUN_DATE).filter("record_no = 0").select(
+    return parse_events(arrivals(spark, sf_dir), "payload", RUN_DATE).filter("key is not null").select(
         "event_id", "key", text.alias("partition_date"), to_date(text).alias("calendar_date"))
 
 
@@ -213,8 +213,9 @@ def load_truncate_columns(spark, sf_dir):
     return truncate_columns(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), contract)
 
 
-@query("""select doc_id, replace(text, chr(65533), ' ') || ' ' || lang as text from documents""")
+@query("""select doc_id, case when doc_id % 2 = 0 then replace(text, chr(65533), ' ') || ' ' || lang
+    else text || chr(65533) || lang end as text from documents""")
 def load_replace_invalid_chars(spark, sf_dir):
-    """A byte that is no UTF-8 is planted in every text and comes back as a blank."""
-    broken = F.concat("text", F.expr("cast(x'FF' as string)"), "lang")
+    """A byte that is no UTF-8 in every other text comes back as a blank; a valid U+FFFD in the others stays."""
+    broken = F.concat("text", F.when(F.col("doc_id") % 2 == 0, F.expr("cast(x'FF' as string)")).otherwise("\uFFFD"), "lang")
     return table(spark, sf_dir, "documents").select("doc_id", replace_invalid_chars(broken).alias("text"))

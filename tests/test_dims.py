@@ -1,12 +1,16 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.operators import conform as cf
 from orderflow.operators import dims
 from orderflow.operators.transform import transform
+from orderflow.operators.quality import FAILURE
 from orderflow.plans import reports
+from orderflow.plans.batch import DimensionError, check_dimensions
 from orderflow.schemas import DIM_DATE, FACT
 from orders import CTX, raw
 
@@ -75,9 +79,9 @@ def test_conform(spark):
     assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in FACT]
     r = fact.first()
     assert (r["customer_sk"], r["product_sk"], r["order_date_sk"], r["ship_date_sk"]) == (
-        -1, -1, 20240115, 20240117)
+        -1, -1, 20231106, 20231109)
     assert len(r["customer_id"]) == 50 and len(r["order_line_sk"]) == 32
-    assert r["discount_amount"] == Decimal("200.00") and r["discount"] == Decimal("0.1000")
+    assert r["discount_amount"] == Decimal("12.35") and r["discount"] == Decimal("0.2500")
 
 
 def test_contract_names_the_first_missing_column(spark):
@@ -121,3 +125,45 @@ def test_summary_opens_only_the_months_it_covers(spark, tmp_path):
     pruned = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "order_year" in pruned and "order_month" in pruned
     assert sorted(r["order_month"] for r in report.collect()) == [10, 11, 12]
+
+
+def test_lookups_do_not_multiply_rows(spark):
+    orders = spark.createDataFrame([("a", "C", "P", D(2024, 1, 10))], "order_id string, customer_id string, product_id string, order_date date")
+    versions = spark.createDataFrame([
+        (1, "C", D(2020, 1, 1), dims.OPEN_END), (2, "C", D(2024, 1, 1), dims.OPEN_END), (3, "C", D(2024, 1, 1), dims.OPEN_END)],
+        "customer_sk bigint, customer_id string, effective_from date, effective_to date")
+    products = spark.createDataFrame([("P", 5), ("P", 7)], "product_id string, product_sk bigint")
+    found = dims.lookup_product(dims.lookup_customer(orders, versions), products).collect()
+    assert [(r["customer_sk"], r["product_sk"]) for r in found] == [(3, 7)]
+    with pytest.raises(DimensionError, match="overlap"):
+        check_dimensions(versions, None)
+    with pytest.raises(DimensionError, match="listed 2 times"):
+        check_dimensions(None, products)
+    check_dimensions(customers(spark), products.limit(1))
+
+
+def test_scd2_carries_other_columns_and_takes_one_row_per_key(spark):
+    dim = customers(spark).withColumn("region", F.lit("north"))
+    snapshot = spark.createDataFrame([("CUST-0001", "a"), ("CUST-0001", "b"), ("CUST-0009", "x"), ("CUST-0009", "x")],
+                                     "customer_id string, customer_segment string")
+    merged = dims.scd2_merge(dim, snapshot, D(2024, 3, 1), attributes=["customer_segment"])
+    current = {r["customer_id"]: (r["customer_segment"], r["region"]) for r in merged.filter("is_current").collect()}
+    assert current == {"CUST-0001": ("b", "north"), "CUST-0002": ("only", "north"), "CUST-0009": ("x", None)}
+    assert merged.filter("is_current").count() == 3 and merged.columns == dim.columns
+    with pytest.raises(ValueError, match="starts after"):
+        dims.scd2_merge(dim, snapshot, D(2023, 12, 31), attributes=["customer_segment"])
+
+
+def test_line_keys_of_several_columns_differ(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a#b", None, None), ("a", "b", ""), ("a\\", "#b", None), ("a\\#", "b", None), ("a", "\\N", "b")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    assert df.select(cf.line_key(["x", "y", "z"]).alias("k")).distinct().count() == len(rows)
+
+
+def test_a_value_that_does_not_fit_is_reported(spark):
+    clean = transform(raw(spark, {"order_id": "far", "order_date": "0001-01-01", "ship_date": "9999-12-31"}, {"order_id": "near"}), CTX)
+    narrow = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("days_to_ship", T.ShortType())])
+    rows = clean.withColumn(cf.LOST, cf.lost_column(clean, narrow))
+    assert {r["order_id"]: r[cf.LOST] for r in rows.collect()} == {"far": "days_to_ship", "near": None}
+    tagged = cf.tag_violations(cf.conform(clean, keep_lost=True).withColumn(cf.LOST, F.lit("days_to_ship")))
+    assert {r[FAILURE] for r in tagged.collect()} == {"contract:days_to_ship out of range"} and cf.LOST not in tagged.columns

@@ -16,16 +16,16 @@ def one(spark, **changes):
 
 def test_types_and_values(spark):
     r = one(spark)
-    assert r["order_date"] == dt.date(2024, 1, 15) and r["ship_date"] == dt.date(2024, 1, 17)
-    assert r["quantity"] == 2 and r["unit_price"] == Decimal("999.99")
-    assert r["gross_revenue"] == Decimal("1999.98") and r["net_revenue"] == Decimal("1799.98")
-    assert (r["order_year"], r["order_month"], r["order_quarter"]) == (2024, 1, 1)
+    assert r["order_date"] == dt.date(2023, 11, 6) and r["ship_date"] == dt.date(2023, 11, 9)
+    assert r["quantity"] == 4 and r["unit_price"] == Decimal("12.35")
+    assert r["gross_revenue"] == Decimal("49.40") and r["net_revenue"] == Decimal("37.05")
+    assert (r["order_year"], r["order_month"], r["order_quarter"]) == (2023, 11, 4)
     assert (r["_job_name"], r["_run_id"]) == ("unit", CTX.run_id)
 
 
 @pytest.mark.parametrize("ship, days, late", [
-    ("2024-01-17", 2, False), ("2024-01-22", 7, False), ("2024-01-23", 8, True),
-    ("2024-01-30", 15, True), (None, None, False), ("2024-1-17", None, False)])
+    ("2023-11-06", 0, False), ("2023-11-13", 7, False), ("2023-11-14", 8, True),
+    ("2024-02-06", 92, True), (None, None, False), ("2023-11-9", None, False)])
 def test_shipping(spark, ship, days, late):
     r = one(spark, ship_date=ship)
     assert (r["days_to_ship"], r["is_late_shipment"]) == (days, late)
@@ -42,14 +42,14 @@ def test_missing_shipping_cost_is_zero(spark):
 
 
 def test_strings(spark):
-    r = one(spark, region=" us-East ", channel="ONLINE ", country="us", order_priority=" High", ship_mode="A ")
+    r = one(spark, region=" al-Ps ", channel="STORE ", country="at", order_priority=" Low", ship_mode="A ")
     assert (r["region"], r["channel"], r["country"], r["order_priority"], r["ship_mode"]) == (
-        "US-EAST", "online", "US", "High", "A")
+        "AL-PS", "store", "AT", "Low", "A")
 
 
 def test_nothing_is_rounded_before_the_product(spark):
-    r = one(spark, quantity="3", unit_price="999.995", discount="0")
-    assert r["gross_revenue"] == Decimal("2999.99")  # 2999.985 half up; 3 * 1000.00 would be 3000.00
+    r = one(spark, quantity="3", unit_price="20.455", discount="0")
+    assert r["gross_revenue"] == Decimal("61.37")  # 61.365 half up; 3 * 20.46 would be 61.38
 
 
 def test_unreadable_price_and_overflow_are_null(spark):
