@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions import ends_with_any, event_key_decode, partition_date, starts_with_any
 from orderflow.functions.time import epoch_seconds
+from orderflow.sources.workdir import stored
 
 # Event format names, accepted endings, repeat window, alert window.
 TEST_EVENT = "s3:TestEvent"
@@ -18,16 +19,25 @@ TTL_SECONDS = 86400
 ALERT_SECONDS = 300
 ALERT_THRESHOLD = 1
 
+# Time folded at once when repeats are dropped: 30 days.
+SLICE_SECONDS = 30 * 86400
+
 _NAMED = "struct<bucket: struct<name: string>, object: struct<key: string>>"
 _RECORD = f"Event: string, s3: {_NAMED}, detail: {_NAMED}, body: string"
-# One schema for all three envelopes: a list of records, or a record by itself.
-_ENVELOPE = f"Records array<struct<{_RECORD}>>, " + _RECORD.replace(": s", " s")
+# One schema for all three envelopes: a list of records, or a record by itself. Text that is no JSON goes to _broken.
+_ENVELOPE = (f"Records array<struct<{_RECORD}>>, Event string, s3 {_NAMED}, detail {_NAMED}, body string, "
+             "_broken string")
+_OPTIONS = {"columnNameOfCorruptRecord": "_broken"}
+# Stands for the event name of a message or body that can't be read.
+_UNREADABLE = "\x00unreadable"
 
-ACCEPTED, DUPLICATE, SKIPPED = "accepted", "duplicate", "skipped"
+ACCEPTED, DUPLICATE, SKIPPED, MALFORMED = "accepted", "duplicate", "skipped", "malformed"
 
 
 def _own_record(envelope: Column) -> Column:
-    return F.array(F.struct(*[envelope[f].alias(f) for f in ("Event", "s3", "detail", "body")]))
+    """The envelope as the one record it holds; a broken one as a record that says so."""
+    event = F.when(envelope["_broken"].isNotNull(), F.lit(_UNREADABLE)).otherwise(envelope["Event"])
+    return F.array(F.struct(event.alias("Event"), *[envelope[f].alias(f) for f in ("s3", "detail", "body")]))
 
 
 def parse_events(
@@ -36,23 +46,31 @@ def parse_events(
     run_date: dt.date,
     wrapped_bus_events: bool = True,
 ) -> DataFrame:
-    """Rows (…, record_no, bucket, key, partition_date), one per file named in an event.
+    """Rows (…, record_no, bucket, key, partition_date, malformed), one per file named in an event.
 
     Understands a notification, a queue message whose body is a notification, and a bus event.
     Keys are URL-decoded in notifications only. Test events and events without bucket or key
-    give no row. ``wrapped_bus_events=False`` ignores bus events inside queue messages.
+    give no row. A message or body that is no JSON, or NULL, gives a row that is ``malformed``, without
+    bucket, key and date. ``wrapped_bus_events=False`` ignores bus events inside queue messages.
     """
     kept = [c for c in df.columns if c != payload]
     # Each JSON text is parsed in a column of its own, so once per message and once per body.
-    messages = df.select(*kept, F.from_json(payload, _ENVELOPE).alias("_message"))
+    def spoken(c: Column) -> Column:
+        # An empty text would parse to NULL and be taken for no message at all.
+        return F.when(F.trim(c) == "", F.lit("empty")).otherwise(c)
+
+    text = F.coalesce(spoken(F.col(payload)), F.lit("none"))
+    messages = df.select(*kept, F.from_json(text, _ENVELOPE, _OPTIONS).alias("_message"))
     records = messages.select(*kept, F.coalesce(
         F.col("_message.Records"), _own_record(F.col("_message"))).alias("_records"))
     bodies = records.select(*kept, "_records", F.transform(
-        "_records", lambda r: F.from_json(r["body"], _ENVELOPE)).alias("_bodies"))
+        "_records", lambda r: F.from_json(spoken(r["body"]), _ENVELOPE, _OPTIONS)).alias("_bodies"))
 
     def unwrap(record: Column, i: Column) -> Column:
         body = F.get("_bodies", i)
-        alone = _own_record(body) if wrapped_bus_events else F.array().cast(f"array<struct<{_RECORD}>>")
+        alone = _own_record(body)
+        if not wrapped_bus_events:
+            alone = F.when(body["_broken"].isNotNull(), alone).otherwise(F.array().cast(f"array<struct<{_RECORD}>>"))
         return F.when(record["body"].isNull(), F.array(record)).otherwise(
             F.coalesce(body["Records"], alone))
 
@@ -63,18 +81,21 @@ def parse_events(
     bucket = F.when(notified, F.col("_e.s3.bucket.name")).otherwise(F.col("_e.detail.bucket.name"))
     key = F.when(notified, event_key_decode(F.col("_e.s3.object.key"))).otherwise(
         F.col("_e.detail.object.key"))
+    unreadable = F.coalesce(F.col("_e.Event") == _UNREADABLE, F.lit(False))
+    day = F.when(~F.col("malformed"), partition_date(F.col("key"), F.lit(run_date.isoformat())))
     return (
         event.filter(F.coalesce(F.col("_e.Event"), F.lit("")) != TEST_EVENT)
-        .select(*kept, "record_no", bucket.alias("bucket"), key.alias("key"))
-        .filter((F.col("bucket") != "") & (F.col("key") != ""))
-        .withColumn("partition_date", partition_date(F.col("key"), F.lit(run_date.isoformat())))
+        .select(*kept, "record_no", bucket.alias("bucket"), key.alias("key"), unreadable.alias("malformed"))
+        .filter("malformed or (bucket <> '' and key <> '')")
+        .select(*kept, "record_no", "bucket", "key", day.alias("partition_date"), "malformed")
     )
 
 
-def rejection(bucket: str, prefixes: Sequence[str]) -> Column:
+def rejection(bucket: str, prefixes: Sequence[str], malformed: Column | None = None) -> Column:
     """Why an arrival is not wanted, first reason first; NULL when it is."""
     key = F.col("key")
     return F.coalesce(
+        F.when(F.lit(False) if malformed is None else malformed, F.lit("message is not JSON")),
         F.when(F.col("bucket") != bucket,
                F.concat(F.lit("unexpected bucket: "), F.col("bucket"), F.lit(f" (expected {bucket})"))),
         F.when(~starts_with_any(key, prefixes), F.concat(F.lit("key outside the valid prefixes: "), key)),
@@ -83,29 +104,14 @@ def rejection(bucket: str, prefixes: Sequence[str]) -> Column:
 
 
 def validate_events(df: DataFrame, bucket: str, prefixes: Sequence[str]) -> DataFrame:
-    return df.withColumn("reason", rejection(bucket, prefixes))
+    return df.withColumn("reason", rejection(bucket, prefixes, F.col("malformed") if "malformed" in df.columns else None))
 
 
-def accepted_arrivals(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    ident: Sequence[str],
-    ttl_seconds: int = TTL_SECONDS,
-    locks: DataFrame | None = None,
+def _accepted_seconds(
+    seconds: DataFrame, key: str, ttl_seconds: int, locks: DataFrame | None
 ) -> DataFrame:
-    """(key, second, *ident) of the arrivals that find no lock: the first of a key, then each
-    first one at least ``ttl_seconds`` after the last *accepted* one.
-
-    Arrivals are first reduced to the distinct seconds of a key, combined before the shuffle, so
-    what is folded for a key depends on the time covered (86,400 numbers a day at the very
-    most), never on how often the key arrived. ``df`` is scanned twice: store it first when it is
-    costly to compute. ``locks`` (key, second) carries the last accepted second
-    of each key over from earlier batches. ``ident`` names one arrival within its key.
-    """
-    timed = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident)
-    per_key = timed.select(key, "second").distinct().groupBy(key).agg(
-        F.collect_list("second").alias("_seconds"))
+    """(key, second) accepted among the distinct (key, second) of one slice of time, folded key by key."""
+    per_key = seconds.groupBy(key).agg(F.collect_list("second").alias("_seconds"))
     last = F.lit(None).cast("bigint")
     if locks is not None:
         per_key = per_key.join(locks.select(key, F.col("second").alias("_locked")), key, "left")
@@ -117,8 +123,40 @@ def accepted_arrivals(
             F.concat(state["taken"], F.array(second)).alias("taken"), second.alias("last"))).otherwise(state)
 
     start = F.struct(F.array().cast("array<bigint>").alias("taken"), last.alias("last"))
-    taken = per_key.select(key, F.explode(F.aggregate(
+    return per_key.select(key, F.explode(F.aggregate(
         F.array_sort("_seconds"), start, step, lambda s: s["taken"])).alias("second"))
+
+
+def accepted_arrivals(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    ident: Sequence[str],
+    ttl_seconds: int = TTL_SECONDS,
+    locks: DataFrame | None = None,
+    slice_seconds: int = SLICE_SECONDS,
+) -> DataFrame:
+    """(key, second, *ident) of the arrivals that find no lock: the first of a key, then each
+    first one at least ``ttl_seconds`` after the last *accepted* one.
+
+    Arrivals are first reduced to the distinct seconds of a key, combined before the shuffle, so what is folded for a
+    key never depends on how often it arrived. Time is folded slice by slice, the last accepted second of each key
+    going from one slice to the next: no row holds more than ``slice_seconds`` numbers, however long the history.
+    ``df`` is scanned a few times: store it first when it is costly to compute. ``locks`` (key, second) carries the
+    last accepted second of each key over from earlier batches. ``ident`` names one arrival within its key.
+    """
+    timed = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident)
+    seconds = timed.select(key, "second").distinct()
+    span = seconds.agg(F.min("second").alias("low"), F.max("second").alias("high")).first()
+    if span["low"] is None or span["high"] - span["low"] < slice_seconds:
+        taken = _accepted_seconds(seconds, key, ttl_seconds, locks)
+    else:
+        seconds, taken = stored(seconds, "seconds"), None
+        for low in range(span["low"], span["high"] + 1, slice_seconds):
+            part = stored(_accepted_seconds(
+                seconds.filter(F.col("second").between(low, low + slice_seconds - 1)), key, ttl_seconds, locks), "accepted")
+            locks = stored(live_locks(locks, part, key), "slice-locks")
+            taken = part if taken is None else taken.unionByName(part)
     # Of the arrivals within one accepted second the first is the one; the join leaves few of them.
     return (
         timed.join(taken, [key, "second"])
@@ -151,13 +189,14 @@ def route_events(
     ttl_seconds: int = TTL_SECONDS,
     locks: DataFrame | None = None,
 ) -> DataFrame:
-    """Status per arrival, tried in the order skipped, duplicate, accepted; only valid arrivals lock."""
+    """Status per arrival, tried in the order malformed, skipped, duplicate, accepted; only valid arrivals lock."""
     checked = validate_events(parsed, bucket, prefixes)
     taken = accepted_arrivals(
         checked.filter(F.col("reason").isNull()), "key", ts, ident, ttl_seconds, locks)
     winners = taken.select("key", *ident, F.lit(True).alias("_taken"))
+    malformed = F.col("malformed") if "malformed" in parsed.columns else F.lit(False)
     status = (
-        F.when(F.col("reason").isNotNull(), SKIPPED).when(F.col("_taken"), ACCEPTED).otherwise(DUPLICATE)
+        F.when(malformed, MALFORMED).when(F.col("reason").isNotNull(), SKIPPED).when(F.col("_taken"), ACCEPTED).otherwise(DUPLICATE)
     )
     return checked.join(winners, ["key", *ident], "left").withColumn("status", status).drop("_taken")
 

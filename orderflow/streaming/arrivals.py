@@ -12,12 +12,38 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow.functions.time import epoch_seconds
 from orderflow.operators import events
 from orderflow.operators.events import TTL_SECONDS
+from orderflow.sources.workdir import children, discard
+
+
+# Micro-batches between two full lock tables.
+_FULL_EVERY = 16
+DELAY_SECONDS = 7 * 86400
 
 
 def read_routed(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/routed")
 
 
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Micro-batches that have written a folder, by its name ``batch_id=n``."""
+    return sorted(int(n.removeprefix("batch_id=")) for n in children(spark, folder) if n.startswith("batch_id="))
+
+
+def _locks_before(spark: SparkSession, root: str, batch_id: int) -> tuple[DataFrame | None, int | None]:
+    """Locks and watermark that a micro-batch starts from: the last full table before it, and the changes since."""
+    full = max((n for n in _numbers(spark, f"{root}/locks") if n < batch_id), default=-1)
+    changes = [n for n in _numbers(spark, f"{root}/changes") if full < n < batch_id]
+    paths = [f"{root}/changes/batch_id={n}" for n in changes]
+    if full >= 0:
+        paths.append(f"{root}/locks/batch_id={full}")
+    marks = [n for n in _numbers(spark, f"{root}/watermark") if n < batch_id]
+    mark = spark.read.parquet(f"{root}/watermark/batch_id={marks[-1]}").first()[0] if marks else None
+    return (spark.read.schema(_LOCK).parquet(*paths) if paths else None), mark
+
+
+_LOCK = "key string, second bigint"
+
+
 def route_stream(
     arrivals: DataFrame,
     root: str,
@@ -29,13 +55,17 @@ def route_stream(
     payload: str | None = None,
     run_date: dt.date | None = None,
     ttl_seconds: int = TTL_SECONDS,
+    delay_seconds: int = DELAY_SECONDS,
 ) -> StreamingQuery:
     """Route all waiting arrivals, exact across micro-batches and restarts.
 
-    ``arrivals`` holds parsed events, or raw envelopes when ``payload`` names their column.
-    Micro-batch n reads the lock table of n-1 and writes its routed rows and the lock table n
-    under its own number, so a replay overwrites its own output with the same rows. The lock
-    table holds the keys accepted within one time-to-live.
+    ``arrivals`` holds parsed events, or raw envelopes when ``payload`` names their column. Within a micro-batch
+    arrivals go by time; across micro-batches a key's last accepted second decides, so an arrival that comes late, with
+    a time before that second, is a duplicate. Micro-batch n writes its routed rows, the locks it took and its watermark
+    under its own number, so a replay overwrites its own output with the same rows. Every 16th writes the whole lock
+    table without those locks that ended before the watermark, and removes older tables; nothing is forgotten between.
+    The watermark is the newest second of all earlier micro-batches less ``delay_seconds`` and never goes back, so only
+    an arrival that is late by more than the delay can be accepted beside an earlier one.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -44,18 +74,30 @@ def route_stream(
         parsed_path = f"{root}/parsed/batch_id={batch_id}"
         parsed.write.mode("overwrite").parquet(parsed_path)
         parsed = spark.read.schema(parsed.schema).parquet(parsed_path)
-        locks = spark.read.parquet(f"{root}/locks/batch_{batch_id - 1}") if batch_id else None
+        locks, mark = _locks_before(spark, root, batch_id)
+        if locks is not None:
+            locks = events.live_locks(None, locks, "key")
         routed_path = f"{root}/routed/batch_id={batch_id}"
         events.route_events(parsed, bucket, prefixes, ts, ident, ttl_seconds, locks).write.mode(
             "overwrite").parquet(routed_path)
 
         routed = spark.read.parquet(routed_path)
         seconds = routed.withColumn("second", epoch_seconds(routed, ts))
-        newest = seconds.agg(F.max("second")).first()[0]
-        accepted = seconds.filter(F.col("status") == events.ACCEPTED)
-        expired_at = None if newest is None else newest - ttl_seconds
-        events.live_locks(locks, accepted, "key", expired_at).write.mode("overwrite").parquet(
-            f"{root}/locks/batch_{batch_id}")
+        taken = seconds.filter(F.col("status") == events.ACCEPTED)
+        events.live_locks(None, taken, "key").write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
+        newest = seconds.select(F.greatest(F.max("second") - delay_seconds, F.lit(mark).cast("bigint")).alias("mark"))
+        newest.write.mode("overwrite").parquet(f"{root}/watermark/batch_id={batch_id}")
+        if batch_id % _FULL_EVERY == _FULL_EVERY - 1:
+            changes = spark.read.schema(_LOCK).parquet(f"{root}/changes/batch_id={batch_id}")
+            ended = None if mark is None else mark - ttl_seconds
+            events.live_locks(locks, changes, "key", ended).write.mode("overwrite").parquet(
+                f"{root}/locks/batch_id={batch_id}")
+            # A replay of this micro-batch still needs what it started from.
+            for folder in ("locks", "changes", "watermark", "parsed"):
+                for n in _numbers(spark, f"{root}/{folder}"):
+                    if n < batch_id - _FULL_EVERY:
+                        discard(spark, f"{root}/{folder}/batch_id={n}")
+        discard(spark, parsed_path)
 
     query = (
         arrivals.writeStream.foreachBatch(route)
@@ -70,7 +112,11 @@ def route_stream(
 def alert_stream(
     metrics: DataFrame, ts: str, path: str, checkpoint: str, delay: str = "10 minutes", **settings
 ) -> StreamingQuery:
-    """Append each alert window once, when the watermark has closed it."""
+    """Append each alert window once, when the watermark has closed it.
+
+    Rows that come after their window was closed are left out; the query's progress counts them as
+    ``numRowsDroppedByWatermark``. ``alert_updates`` waits for no watermark.
+    """
     timed = metrics.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
     query = (
         events.alert_windows(timed, ts, **settings)
@@ -83,3 +129,35 @@ def alert_stream(
     )
     query.awaitTermination()
     return query
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a stream left out because their window was closed."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def alert_updates(
+    metrics: DataFrame, ts: str, path: str, checkpoint: str, delay: str = "10 minutes", **settings
+) -> StreamingQuery:
+    """Every alert window as soon as it has data, again whenever its sum changes: (batch_id, window_start, window_end, metric_sum)."""
+    timed = metrics.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    query = (
+        events.alert_windows(timed, ts, **settings)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state of each window that ``alert_updates`` has written."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("window_start", "window_end").agg(F.max_by("metric_sum", "batch_id").alias("metric_sum"))

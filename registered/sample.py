@@ -145,6 +145,7 @@ def sql_date(c: str) -> str:
             f"then cast(try_strptime({c}, '%Y-%m-%d') as date) end")
 
 
+# States and reasons of the gate.
 TAG_CASE = f"""case when order_id is null then 'order_id is null'
     when customer_id is null then 'customer_id is null'
     when order_date is null then 'order_date is null'
@@ -291,8 +292,9 @@ EVENT_EXPRESSIONS = {
         when 3 then concat('orders/', {_NAME}, '.parquet')
         when 4 then concat('internal/', {_NAME}, '.parquet')
         else concat('orders/', {_NAME}, '.xlsx') end""",
-    "envelope": "case when event_id % 40 = 39 then 'test' when event_id % 4 = 0 then 'bus' "
-                "when event_id % 4 = 1 then 'queue' else 'notification' end",
+    "envelope": "case when event_id % 40 = 39 then 'test' when event_id % 40 = 38 then 'cut' "
+                "when event_id % 40 = 37 then 'cut body' when event_id % 40 = 36 then 'none' "
+                "when event_id % 4 = 0 then 'bus' when event_id % 4 = 1 then 'queue' else 'notification' end",
 }
 # Every third notification names a second file.
 _SECOND = "envelope = 'notification' and event_id % 3 = 0"
@@ -313,6 +315,9 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
                     f"case when {_SECOND} then concat(',', {second}) else '' end, ']}}')")
     payload = f"""case envelope
         when 'test' then '{{"Event":"s3:TestEvent"}}'
+        when 'cut' then substr({notification}, 1, 30)
+        when 'cut body' then to_json(named_struct('Records', array(named_struct('body', substr({notification}, 1, 30)))))
+        when 'none' then null
         when 'queue' then to_json(named_struct('Records', array(named_struct('body', {notification}))))
         when 'bus' then to_json(named_struct('detail', named_struct(
             'bucket', named_struct('name', bucket), 'object', named_struct('key', key))))
@@ -320,7 +325,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("event_id", "ts", F.expr(payload).alias("payload"))
 
 
-_PARTITION_DATE = """case
+_PARTITION_DATE = """case when key is null then null
     when regexp_matches(key, 'year=[0-9]{4}/month=[0-9]{2}/day=[0-9]{2}') then regexp_replace(
         regexp_extract(key, 'year=[0-9]{4}/month=[0-9]{2}/day=[0-9]{2}'),
         'year=([0-9]{4})/month=([0-9]{2})/day=([0-9]{2})', '\\1-\\2-\\3')
@@ -330,10 +335,11 @@ _PARTITION_DATE = """case
         then replace(regexp_extract(key, '[0-9]{4}/[0-9]{2}/[0-9]{2}'), '/', '-')
     else '2024-02-01' end"""
 EVENTS_SQL = f"""named as (select {_columns_sql(EVENT_EXPRESSIONS)} from events),
-files as (select event_id, ts, 0 as record_no, bucket, key from named where envelope <> 'test'
+files as (select event_id, ts, 0 as record_no, bucket, key from named where envelope in ('bus', 'queue', 'notification')
+    union all select event_id, ts, 0, null, null from named where envelope in ('cut', 'cut body', 'none')
     union all select event_id, ts, 1, bucket, concat(key, '.gz') from named where {_SECOND}),
 parsed as (select *, {_PARTITION_DATE} as partition_date from files),
-checked as (select *, case
+checked as (select *, case when key is null then 'message is not JSON'
     when bucket <> '{BUCKET}' then concat('unexpected bucket: ', bucket, ' (expected {BUCKET})')
     when not (starts_with(key, 'orders/') or starts_with(key, 'returns/'))
         then concat('key outside the valid prefixes: ', key)
@@ -350,7 +356,7 @@ taken(key, second) as (
 winners as (select key, event_id, record_no from (
     select a.*, row_number() over (partition by a.key, a.second order by ts, event_id, record_no) as rn
     from arriving a join taken using (key, second)) where rn = 1),
-routed as (select c.*, case when c.reason is not null then 'skipped'
+routed as (select c.*, case when c.key is null then 'malformed' when c.reason is not null then 'skipped'
     when w.key is not null then 'accepted' else 'duplicate' end as status
     from checked c left join winners w using (key, event_id, record_no))"""
 
