@@ -14,7 +14,8 @@ def main(argv: list[str]) -> None:
     cfg = PipelineConfig.from_args(argv)
     spark = SparkSession.builder.appName("orderflow").getOrCreate()
     try:
-        print(run_batch(spark, cfg))
+        dimensions = [spark.read.parquet(p) if p else None for p in (cfg.customers_path, cfg.products_path)]
+        print(run_batch(spark, cfg, customers=dimensions[0], products=dimensions[1]))
     finally:
         spark.stop()
 

@@ -49,6 +49,9 @@ class PipelineConfig:
     summary_days: int = 90
     keys: Sequence[str] = field(default=("order_id",))
     write_rejects_on_abort: bool = False
+    multi_line: bool = True
+    customers_path: str | None = None
+    products_path: str | None = None
 
     @classmethod
     def under(cls, source_root: str, work_root: str, **settings) -> PipelineConfig:
@@ -71,11 +74,15 @@ class PipelineConfig:
                      "export-root", "audit-root", "rejected-root"):
             p.add_argument(f"--{name}", required=True)
         p.add_argument("--table", default="fact_orders")
-        p.add_argument("--source-format", choices=("auto", "parquet", "csv"), default="auto")
+        p.add_argument("--source-format", choices=("auto", "parquet", "csv", "typed"), default="auto")
         p.add_argument("--partition-date", type=dt.date.fromisoformat)
         p.add_argument("--lookback-days", type=int, default=1)
         p.add_argument("--max-reject-pct", type=float, default=5.0)
         p.add_argument("--sla-days", type=int, default=7)
         p.add_argument("--summary-days", type=int, default=90)
+        p.add_argument("--keys", type=lambda text: tuple(text.split(",")), default=("order_id",))
+        p.add_argument("--customers-path", help="Parquet of the customer dimension")
+        p.add_argument("--products-path", help="Parquet of the product dimension")
+        p.add_argument("--single-line-csv", dest="multi_line", action="store_false")
         p.add_argument("--write-rejects-on-abort", action="store_true")
         return cls(**vars(p.parse_args(argv)))

@@ -29,10 +29,6 @@ REASONS = {
 DEFAULT_MAX_REJECT_PCT = 5.0
 
 
-class GateFailed(RuntimeError):
-    """More rows were rejected than the threshold allows."""
-
-
 @dataclass(frozen=True)
 class Rule:
     """A row fails the rule when ``fails`` is true; NULL counts as a pass."""
@@ -55,6 +51,14 @@ class GateCounts:
         return self.rejected / self.total * 100 if self.total else 0.0
 
 
+class GateFailed(RuntimeError):
+    """More rows were rejected than the threshold allows; ``counts`` says how many."""
+
+    def __init__(self, message: str, counts: GateCounts):
+        super().__init__(message)
+        self.counts = counts
+
+
 def order_rules() -> list[Rule]:
     """The seven rules for raw orders."""
     status, discount = F.col("order_status"), to_double(F.col("discount"))
@@ -119,6 +123,6 @@ def gate(tagged: DataFrame, max_reject_pct: float = DEFAULT_MAX_REJECT_PCT) -> G
     if result.reject_pct > max_reject_pct:
         raise GateFailed(
             f"{result.rejected} of {result.total} rows rejected "
-            f"({result.reject_pct:.2f} %), limit {max_reject_pct} %"
+            f"({result.reject_pct:.2f} %), limit {max_reject_pct} %", result
         )
     return result

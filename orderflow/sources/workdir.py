@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +23,17 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or "unknown"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="orderflow-")
+    return _session_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _session_folder(application: str) -> str:
+    """One temporary folder per local session, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="orderflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -35,5 +48,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    _filesystem(spark, path).delete(_path(spark, path), True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return _filesystem(spark, path).exists(_path(spark, path))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is not there."""
+    if not exists(spark, path):
+        return []
+    return [f.getPath().getName() for f in _filesystem(spark, path).listStatus(_path(spark, path))]
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> bool:
+    """Whether ``owner`` has the name ``path``: the first to create the file does, and keeps it when asking again."""
+    files, place = _filesystem(spark, path), _path(spark, path)
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError:
+        if not files.exists(place):
+            raise
+        return [r["value"] for r in spark.read.text(path).collect()] == [owner]
+    out.write(bytearray(owner.encode()))
+    out.close()
+    return True
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

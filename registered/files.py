@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from orderflow.context import PipelineConfig
+from orderflow.context import PipelineConfig, RunContext
 from orderflow.functions import partition_date
 from orderflow.operators.conform import conform
 from orderflow.plans import reports
@@ -111,18 +111,24 @@ def sink_staged_roundtrip(spark, sf_dir):
 
 
 @query(with_(CLEAN_SQL, """select coalesce(cast(order_year as string), 'none') as order_year,
-    coalesce(cast(order_month as string), 'none') as order_month, true as all_mandatory, true as has_bytes
-    from clean group by all"""))
+    coalesce(cast(order_month as string), 'none') as order_month, true as all_mandatory, true as has_bytes,
+    true as same_files, true as same_bytes from clean group by all"""))
 def load_manifest(spark, sf_dir):
-    """The written manifest, summed per staged partition."""
+    """The written manifest, summed per staged partition and held against a listing of what was staged."""
     staged = _stage(spark, sf_dir)
     path = manifest.write_manifest(spark, staged, fresh_dir(spark, "manifest"))
 
-    def part(name):
-        return F.coalesce(F.nullif(F.regexp_extract("url", rf"/{name}=(\d+)/", 1), F.lit("")), F.lit("none"))
-    return manifest.read_manifest(spark, path).groupBy(
-        part("order_year").alias("order_year"), part("order_month").alias("order_month"),
-    ).agg(F.bool_and("mandatory").alias("all_mandatory"), (F.sum("length") > 0).alias("has_bytes"))
+    def part(url, name):
+        return F.coalesce(F.nullif(F.regexp_extract(url, rf"/{name}=(\d+)/", 1), F.lit("")), F.lit("none")).alias(name)
+    months = ["order_year", "order_month"]
+    listed = manifest.read_manifest(spark, path).groupBy(*[part("url", m) for m in months]).agg(
+        F.bool_and("mandatory").alias("all_mandatory"), F.sum("length").alias("bytes"), F.count("url").alias("files"))
+    found = readers.list_files(spark, staged, "*.parquet").groupBy(*[part("path", m) for m in months]).agg(
+        F.sum("length").alias("found_bytes"), F.count("path").alias("found_files"))
+    return listed.join(found, months, "full_outer").select(
+        *months, "all_mandatory", (F.col("bytes") > 0).alias("has_bytes"),
+        F.col("files").eqNullSafe(F.col("found_files")).alias("same_files"),
+        F.col("bytes").eqNullSafe(F.col("found_bytes")).alias("same_bytes"))
 
 
 @query(with_(CLEAN_SQL, f"select {', '.join(CLEAN_COLUMNS)} from clean"))
@@ -143,16 +149,6 @@ def export_summary(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(with_(CLEAN_SQL, f"""select {', '.join(CLEAN_COLUMNS)} from clean
-    where order_date between date '1999-01-01' and date '1999-03-31' and product_category = 'ECONOMY'"""))
-def layout_sorted_scan(spark, sf_dir):
-    """A scan by the leading sort columns, which skips row groups."""
-    path = writers.write_sorted(clean_orders(spark, sf_dir), fresh_dir(spark, "sorted"))
-    return spark.read.schema(CLEAN).parquet(path).filter(
-        F.col("order_date").between(F.lit(dt.date(1999, 1, 1)), F.lit(dt.date(1999, 3, 31)))
-        & (F.col("product_category") == "ECONOMY")).select(*CLEAN_COLUMNS)
-
-
 _PROFILED = ["order_id", "customer_id", "order_status", "region", "channel", "order_date", "ship_date",
              "quantity", "order_year"]
 
@@ -187,14 +183,43 @@ def upsert_fact(spark, sf_dir):
     """Two loads published one after the other, then the target as a reader sees it."""
     root = fresh_dir(spark, "target")
     for wave, ctx in ((1, CTX), (2, CTX2)):
-        rows = conform(wave_orders(spark, sf_dir, wave, ctx)).filter(
-            "order_date is not null and order_status is not null")
-        staging = fresh_dir(spark, "staging")
-        rows.write.parquet(staging)
-        target.publish_upsert(spark, root, spark.read.parquet(staging), ctx)
+        _publish(spark, root, wave_orders(spark, sf_dir, wave, ctx), ctx)
     return target.read_target(spark, root).select(*_PUBLISHED)
 
 
+def _publish(spark, root, rows, ctx):
+    staging = fresh_dir(spark, "staging")
+    conform(rows).filter(_LOADABLE).write.parquet(staging)
+    return target.publish_upsert(spark, root, spark.read.parquet(staging), ctx)
+
+
+_THIRD = "cast(substring(order_id, 5) as bigint) % 3 = 0"
+CTX3 = RunContext("00000000-0000-0000-0000-000000000003", CTX2.run_ts, AS_OF, "sample")
+
+
+@query(published_sql(f""", case when wave = 2 then '{CTX3.run_id}' when {_THIRD} then '{CTX2.run_id}'
+    else '{CTX.run_id}' end as _run_id"""))
+def upsert_append(spark, sf_dir):
+    """A first load, then keys that are all new but fall into the same months, then old and new ones."""
+    root = fresh_dir(spark, "target")
+    _publish(spark, root, wave_orders(spark, sf_dir, 1, CTX).filter(f"not ({_THIRD})"), CTX)
+    _publish(spark, root, wave_orders(spark, sf_dir, 1, CTX2).filter(_THIRD), CTX2)
+    _publish(spark, root, wave_orders(spark, sf_dir, 2, CTX3), CTX3)
+    return target.read_target(spark, root).select(*_PUBLISHED)
+
+
+@query(with_(CLEAN_SQL, f"""select md5(order_id) as order_line_sk, order_id, customer_id, product_id, order_status,
+    order_date, {FACT_MEASURES} from clean where {_LOADABLE}
+    and order_date between date '1999-01-01' and date '1999-03-31' and product_category = 'ECONOMY'"""))
+def layout_sorted_scan(spark, sf_dir):
+    """A scan of the published fact by its leading sort columns, which skips months and row groups."""
+    root = fresh_dir(spark, "target")
+    _publish(spark, root, clean_orders(spark, sf_dir), CTX)
+    return target.read_target(spark, root).filter(
+        F.col("order_date").between(F.lit(dt.date(1999, 1, 1)), F.lit(dt.date(1999, 3, 31)))
+        & (F.col("product_category") == "ECONOMY")).select(*_PUBLISHED[:-1])
+
+
 @query(with_(f"""{CLEAN_SQL}, loadable as (select * from clean
     where order_date is not null and order_status is not null)""", """select cast(1 as bigint) as audit_id,
     'sample' as job_name, 'fact_orders' as target_table, (select count(*) from raw_lines) as rows_read,

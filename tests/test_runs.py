@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,11 +7,12 @@ from pyspark.sql import functions as F
 from orderflow.context import PipelineConfig, RunContext
 from orderflow.operators.events import ACCEPTED
 from orderflow.operators.quality import GateFailed
-from orderflow.plans.batch import LoadMismatch, run_batch, validate_load
+from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
 from orderflow.schemas import RAW_LANDING
 from orderflow.sources import target
-from orderflow.streaming.arrivals import alert_stream, read_routed, route_stream
-from orderflow.streaming.ingest import run_incremental
+from orderflow.streaming import arrivals as arrivals_module
+from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream
+from orderflow.streaming.ingest import batch_context, run_incremental
 from orders import CTX, raw
 
 
@@ -61,6 +63,8 @@ def test_gate_failure_is_logged_and_loads_nothing(spark, tmp_path):
         run_batch(spark, cfg, CTX)
     log = spark.read.parquet(cfg.audit_root).collect()
     assert [r["status"] for r in log] == ["FAILED"] and "1 of 30" in log[0]["error_message"]
+    assert (log[0]["rows_read"], log[0]["rows_rejected"], log[0]["rows_inserted"]) == (30, 1, None)
+    assert not os.path.exists(f"{cfg.target_root}/staging/run_id={CTX.run_id}")
     assert published(spark, cfg) == {}
 
 
@@ -76,9 +80,39 @@ def test_load_check_raises_on_a_difference(spark, tmp_path):
     deliver(spark, cfg.source_root, 0)
     run_batch(spark, cfg, CTX)
     fact = target.read_target(spark, cfg.target_root)
-    validate_load(fact, CTX.run_id, 28)
-    with pytest.raises(LoadMismatch):
-        validate_load(fact, CTX.run_id, 29)
+    validate_load(fact, CTX.run_id, 28, 28, CTX.run_ts)
+    for wrong in ((29, 28, CTX.run_ts), (28, 27, CTX.run_ts), (28, 28, CTX.run_ts + dt.timedelta(seconds=1))):
+        with pytest.raises(LoadMismatch):
+            validate_load(fact, CTX.run_id, *wrong)
+    profile = spark.read.parquet(f"{cfg.target_root}/statistics/run_id={CTX.run_id}").filter("column_name = 'order_id'").first()
+    assert (profile["row_count"], profile["null_count"]) == (28, 0)
+
+
+def test_bad_dimensions_stop_a_run_before_it_loads(spark, tmp_path):
+    cfg = config(tmp_path)
+    deliver(spark, cfg.source_root, 0)
+    products = spark.createDataFrame([("P", 1), ("P", 2)], "product_id string, product_sk bigint")
+    with pytest.raises(DimensionError):
+        run_batch(spark, cfg, CTX, products=products)
+    log = spark.read.parquet(cfg.audit_root).collect()
+    assert [(r["status"], r["rows_read"]) for r in log] == [("FAILED", None)] and published(spark, cfg) == {}
+
+
+def test_incremental_takes_both_formats_logs_and_exports(spark, tmp_path):
+    cfg, checkpoint = PipelineConfig.under(str(tmp_path / "landing"), str(tmp_path / "out")), str(tmp_path / "checkpoint")
+    deliver(spark, cfg.source_root, 0)
+    rows(spark, 3).write.option("header", True).csv(f"{cfg.source_root}/year=2024/month=01/day=20", compression="gzip")
+    run_incremental(spark, cfg, checkpoint, CTX.as_of)
+    assert len(published(spark, cfg)) == 58
+    log = spark.read.parquet(cfg.audit_root).collect()
+    assert [(r["status"], r["rows_read"], r["rows_inserted"]) for r in log] == [("SUCCESS", 60, 58)]
+    assert spark.read.option("recursiveFileLookup", True).parquet(cfg.export_root).agg(F.sum("order_count")).first()[0] == 58
+
+
+def test_a_replayed_micro_batch_has_the_same_folders(spark, tmp_path):
+    one, two = (batch_context(spark, str(tmp_path / "c"), 4, CTX.as_of, "j") for _ in range(2))
+    assert (one.run_id, one.stamp) == (two.run_id, two.stamp)
+    assert batch_context(spark, str(tmp_path / "c"), 5, CTX.as_of, "j").run_id != one.run_id
 
 
 def test_incremental_equals_batch_and_restarts(spark, tmp_path):
@@ -103,7 +137,9 @@ def test_config_from_arguments():
     argv = [a for r in roots for a in (f"--{r}-root", f"/{r}")]
     cfg = PipelineConfig.from_args([*argv, "--partition-date", "2024-01-15", "--lookback-days", "3"])
     assert (cfg.partition_date, cfg.lookback_days, cfg.max_reject_pct) == (dt.date(2024, 1, 15), 3, 5.0)
-    assert cfg.source_root == "/source" and cfg.table == "fact_orders"
+    assert cfg.source_root == "/source" and cfg.table == "fact_orders" and list(cfg.keys) == ["order_id"]
+    more = PipelineConfig.from_args([*argv, "--keys", "order_id,product_id", "--customers-path", "/c", "--single-line-csv"])
+    assert (list(more.keys), more.customers_path, more.products_path, more.multi_line) == (["order_id", "product_id"], "/c", None, False)
 
 
 def test_locks_outlive_a_restart(spark, tmp_path):
@@ -120,11 +156,39 @@ def test_locks_outlive_a_restart(spark, tmp_path):
         return first
 
     deliver_events(0, 10)
+    # the time of another key far ahead does not end a lock
+    spark.createDataFrame([(10_000_000, 0, "b", "orders/other.csv", "x")], "event_id bigint, record_no int, bucket string, key string, partition_date string"
+                          ).withColumn("ts", F.timestamp_seconds("event_id")).write.mode("append").parquet(source)
     deliver_events(500, 90_000)
+    deliver_events(80_000)
     deliver_events(100_000, 180_001)
-    accepted = read_routed(spark, out).filter(F.col("status") == ACCEPTED)
+    accepted = read_routed(spark, out).filter((F.col("status") == ACCEPTED) & (F.col("key") == "orders/k.csv"))
     assert sorted(r["event_id"] for r in accepted.collect()) == [0, 90_000, 180_001]
-    assert read_routed(spark, out).count() == 6
+    assert read_routed(spark, out).count() == 8
+
+
+def test_locks_end_by_the_watermark_when_the_table_is_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals_module, "_FULL_EVERY", 2)
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = "event_id bigint, record_no int, ts timestamp, bucket string, key string, partition_date string"
+    for second in (1000, 2_000_000, 2_000_500, 1010, 2_100_000, 1020):
+        spark.createDataFrame([(second, 0, "b", "orders/k.csv" if second < 5000 else f"orders/{second}.csv", "x")],
+                              "event_id bigint, record_no int, bucket string, key string, partition_date string"
+                              ).withColumn("ts", F.timestamp_seconds("event_id")).write.mode("append").parquet(source)
+        route_stream(spark.readStream.schema(schema).parquet(source), out, checkpoint, "b", ["orders/"], delay_seconds=100_000)
+    status = {r["event_id"]: r["status"] for r in read_routed(spark, out).collect()}
+    # 1000's lock is in the table of micro-batch 1, whose watermark is still that of micro-batch 0, and not in that of 3
+    assert status == {1000: "accepted", 2_000_000: "accepted", 2_000_500: "accepted", 1010: "duplicate", 2_100_000: "accepted", 1020: "accepted"}
+
+
+def test_every_alert_window_is_there_at_once(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for start in (0, 250):
+        spark.createDataFrame([(start + s,) for s in (0, 10, 400)], "s bigint").select(
+            F.timestamp_seconds("s").alias("ts")).write.mode("append").parquet(source)
+        alert_updates(spark.readStream.schema("ts timestamp").parquet(source), "ts", out, checkpoint)
+    got = sorted((int(r["window_start"].timestamp()), r["metric_sum"]) for r in read_alerts(spark, out).collect())
+    assert got == [(0, 4), (300, 1), (600, 1)]
 
 
 def test_alert_stream_emits_each_closed_window_once(spark, tmp_path):
