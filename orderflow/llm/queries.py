@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, classifier, contamination, mixing, ngram_trie, perplexity, simhash, substrings, urls, warc
+from orderflow.llm import chat, classifier, contamination, mixing, ngram_trie, perplexity, simhash, substrings, url_sql, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -53,7 +53,7 @@ URL_RULES = [urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"),
              urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block")]
 
 
-@query()
+@query(url_sql.judged_sql(URL_RULES))
 def op3_url_filter(spark, sf_dir):
     judged = urls.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
@@ -73,7 +73,7 @@ def op4_warc(spark, sf_dir):
 @query()
 def op5_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return classifier.classified(docs).select("doc_id", "quality_score", "good")
+    return classifier.classified(docs).select("doc_id", "quality_score", F.col("good").alias("kept"))
 
 
 @query("""

@@ -6,12 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A-Z to a-z, other bytes as they are.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-# Words as a regular expression for SQL: runs of anything but the six ASCII white spaces.
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +51,3 @@ def shingle_slices(text: bytes, k: int) -> tuple[bytes, list[int], list[int]]:
     if len(starts) < k:
         return flat, [0], [len(flat)]
     return flat, starts[: len(starts) - k + 1].tolist(), ends[k - 1 :].tolist()
-
-
-def count_words(column):
-    """Number of words of a text column; null counts 0. Evaluated in the JVM."""
-    text = F.coalesce(column, F.lit(""))
-    trimmed = F.regexp_replace(text, WORD, "w")
-    return F.length(F.regexp_replace(trimmed, r"[\x20\x09-\x0D]+", "")).cast("long")

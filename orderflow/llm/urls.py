@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from orderflow.sources.workdir import stored
 
 WILD, END = "*", "$"
+# A segment that is plainly variable, and its extension.
+VARIABLE = r"^(?:[0-9]+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{32,})(\.[A-Za-z]{1,5})?\z"
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -50,7 +52,7 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
 def shape(path: Column) -> Column:
     """Segments of a path; those that are plainly variable (numbers, long hexadecimal, either with an extension) become a wildcard with its extension."""
     segment = F.split(F.regexp_replace(path, r"^/", ""), "/", -1)
-    return F.transform(segment, lambda s: F.regexp_replace(s, r"^(?:[0-9]+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{32,})(\.[A-Za-z]{1,5})?$", r"*$1"))
+    return F.transform(segment, lambda s: F.regexp_replace(s, VARIABLE, "*$1"))
 
 
 def _generalised(tree: DataFrame, level: int, max_children: int, rare: float) -> DataFrame:
