@@ -17,12 +17,12 @@ def mapped(path: str, dtype) -> np.ndarray:
     """A file as an array. A file of a local or mounted folder is mapped where it is; of any other store, as a copy that goes with the mapping."""
     filesystem, name = fs.FileSystem.from_uri(path)
     if isinstance(filesystem, fs.LocalFileSystem):
-        return np.memmap(name, dtype, "r") if filesystem.get_file_info(name).size else np.zeros(0, dtype)
+        return np.memmap(name, dtype, "r").view(np.ndarray) if filesystem.get_file_info(name).size else np.zeros(0, dtype)
     with tempfile.NamedTemporaryFile() as copy, filesystem.open_input_stream(name, compression=None) as source:
         while block := source.read(1 << 24):
             copy.write(block)
         copy.flush()
-        return np.memmap(copy.name, dtype, "r") if copy.tell() else np.zeros(0, dtype)
+        return np.memmap(copy.name, dtype, "r").view(np.ndarray) if copy.tell() else np.zeros(0, dtype)
 
 
 class Out:

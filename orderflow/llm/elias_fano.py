@@ -7,17 +7,24 @@ import numpy as np
 _ONE = np.uint64(1)
 
 
+_BYTES, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_EIGHT = np.uint64(8)
+# Position of the k-th one of a byte, at 8 * byte + k.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for b in range(256) for k in range(8)], np.int64)
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the one with ``rank`` ones before it in each 64-bit word, by halving."""
-    word, rank, at = word.copy(), rank.astype(np.int64), np.zeros(len(word), np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = word & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
-        up = rank >= ones
-        rank -= np.where(up, ones, 0)
-        at += np.where(up, half, 0)
-        word = np.where(up, word >> np.uint64(half), low)
-    return at
+    """Position of the one with ``rank`` ones before it in each 64-bit word: its byte by sums over bytes, then a table."""
+    rank = rank.astype(np.uint64)
+    ones = word - ((word >> _ONE) & np.uint64(0x5555555555555555))
+    ones = (ones & np.uint64(0x3333333333333333)) + ((ones >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    sums = ((ones + (ones >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _BYTES
+    # the high bit of a byte stays where the ones up to there are no more than the rank
+    passed = ((rank * _BYTES | _HIGH) - sums) & _HIGH
+    shift = np.minimum(np.bitwise_count(passed).astype(np.uint64), np.uint64(7)) * _EIGHT
+    before = ((sums << _EIGHT) >> shift) & np.uint64(255)
+    byte = (word >> shift) & np.uint64(255)
+    return shift.astype(np.int64) + _IN_BYTE[(byte * _EIGHT + np.minimum(rank - before, np.uint64(7))).astype(np.int64)]
 
 
 class EliasFano:
@@ -79,6 +86,17 @@ class EliasFano:
         bit = word * 64 + _select_in_word(~self.high[np.maximum(word, 0)], rank - self._zeros[np.maximum(word, 0)])
         return np.where(part <= 0, 0, np.minimum(bit - rank, self.n))
 
+    def _run(self, bit: np.ndarray) -> np.ndarray:
+        """How many ones of the high bits follow each other from a position on."""
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        gap = ~(self.high[word] >> shift)
+        run = np.bitwise_count((gap & (~gap + _ONE)) - _ONE).astype(np.int64)
+        # shifted-in zeros end a run at the word's end: go on in the next word
+        over = np.flatnonzero((run == 64 - (bit & 63)) & (word + 1 < len(self.high)))
+        if len(over):
+            run[over] += self._run((word[over] + 1) << 6)
+        return run
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """Position of each value, or -1: the successor of equal value in the run of its high part."""
         values = values.astype(np.uint64)
@@ -89,7 +107,8 @@ class EliasFano:
         top = int(self.access(np.array([self.n - 1]))[0] >> np.uint64(self.l))
         inside = np.flatnonzero(part <= top)
         low_part = values[inside] & np.uint64((1 << self.l) - 1)
-        low, high = self._below(part[inside]), self._below(part[inside] + 1)
+        low = self._below(part[inside])
+        high = low + self._run(part[inside] + low)
         # lower bound of the low bits in [low, high), all at once
         end = high.copy()
         while True:

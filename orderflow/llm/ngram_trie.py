@@ -6,18 +6,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from orderflow.llm import arrays
 from orderflow.llm.elias_fano import EliasFano
+from orderflow.llm.packing import SCHEMA, by_part, dealt, unpacked
 from orderflow.llm.text import texts, words
 from orderflow.sources.workdir import fresh_dir
 
 # The end of a text as a token, and before its first word as context; no word holds a line end.
 END = b"\n"
-_TOKENS = 1 << 21
+# Tokens that a task looks at together.
+_TOKENS = 1 << 19
+# Bytes of text per shard of a level.
+_SHARD_BYTES = 8 << 20
 _EF = (("low", "uint64"), ("high", "uint64"), ("ones", "uint32"))
 
 
@@ -26,28 +30,33 @@ def tokens(text: bytes) -> list[bytes]:
     return [*words(text), END]
 
 
-def chunks(batches, column: str = "text"):
-    """(batch, first row, token hashes, tokens per row) over about 2 million tokens at a time."""
-    for batch in batches:
-        bodies = texts(batch.column(column))
-        known: dict[bytes, int] = {}
-        held, sizes, first, count = [], [], 0, 0
-        for i, text in enumerate(bodies):
-            own = tokens(text)
-            for w in own:
-                if w not in known:
-                    known[w] = xxh64_intdigest(w)
-            held.append(np.array([known[w] for w in own], np.uint64))
-            sizes.append(len(own))
-            count += len(own)
-            if count >= _TOKENS or i + 1 == len(bodies):
-                yield batch, first, np.concatenate(held), np.array(sizes)
-                held, sizes, first, count = [], [], i + 1, 0
-                known = {}
+class _Numbers(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
 
-def _shard_of(value: Column, bits: int) -> Column:
-    return F.shiftrightunsigned(value, 64 - bits)
+def chunks(batches, column: str = "text", size: int = _TOKENS):
+    """(batch, first row, distinct token hashes in order, which of them each token is, tokens per row) over about
+    ``size`` tokens at a time."""
+    for batch in batches:
+        known = _Numbers()
+        held, sizes, first, count = [], [], 0, 0
+        for low in range(0, batch.num_rows, 256):
+            for i, text in enumerate(texts(batch.column(column).slice(low, 256)), low + 1):
+                own = tokens(text)
+                held.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
+                sizes.append(len(own))
+                count += len(own)
+                if count >= size or i == batch.num_rows:
+                    hashes = np.fromiter(map(xxh64_intdigest, known), np.uint64, len(known))
+                    order = np.argsort(hashes)
+                    rank = np.empty(len(order), np.int64)
+                    rank[order] = np.arange(len(order))
+                    yield batch, first, hashes[order], rank[np.concatenate(held)], np.array(sizes)
+                    held, sizes, first, count, known = [], [], i, 0, _Numbers()
 
 
 @dataclass(frozen=True)
@@ -78,26 +87,10 @@ def _get(stem: str, name: str, shape: tuple[int, int]) -> EliasFano:
     return EliasFano(*shape, *(arrays.mapped(f"{stem}-{name}-{part}", kind) for part, kind in _EF))
 
 
-def _grouped(batches, columns: list[str]):
-    """(shard, arrays of its columns) of rows sorted by shard."""
-    held, at = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        shard = batch.column("shard").to_numpy()
-        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if at is not None and shard[a] != at:
-                yield int(at), [np.concatenate(c) for c in zip(*held)]
-                held = []
-            at = shard[a]
-            held.append([batch.column(c).to_numpy()[a:b] for c in columns])
-    if held:
-        yield int(at), [np.concatenate(c) for c in zip(*held)]
-
-
 def _summed(keys: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted keys without repeats, and their sums."""
+    """Rising keys without repeats, and their sums."""
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    keys, n = tuple(k[order] for k in keys), n[order]
     new = np.zeros(len(n), bool)
     new[:1] = True
     for key in keys:
@@ -131,22 +124,23 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[Level, int]:
 
     def count(batches):
         held, size = [], 0
-        for _, _, hashes, _ in chunks(batches):
-            held.append(np.unique(hashes, return_counts=True))
+        for _, _, value, which, _ in chunks(batches):
+            held.append((value, np.bincount(which, minlength=len(value))))
             size += len(held[-1][0])
-            if size >= _TOKENS:
-                yield sent(held)
+            if size >= 2 * _TOKENS:
+                yield from sent(held).to_batches()
                 held, size = [], 0
         if held:
-            yield sent(held)
+            yield from sent(held).to_batches()
 
     def sent(held):
         value, which = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
         n = np.bincount(which, np.concatenate([c for _, c in held])).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["hash", "n"])
+        return dealt((value >> np.uint64(64 - bits)).astype(np.int64), value.view(np.int64), n)
 
     def build(batches):
-        for shard, (value, n) in _grouped(batches, ["hash", "n"]):
+        for shard, blobs in by_part(batches):
+            value, n = unpacked(blobs, 2)
             (value,), n = _summed((value,), n)
             out = arrays.Out(root)
             shape = _put(out, "words", EliasFano.coded(value.view(np.uint64) - np.uint64(shard << (64 - bits))))
@@ -154,8 +148,8 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[Level, int]:
             out.close()
             yield _built([(shard, out.stem, len(n), int(n.sum()), list(shape))])
 
-    seen = docs.select("text").mapInArrow(count, "hash long, n long").withColumn("shard", _shard_of(F.col("hash"), bits).cast("int"))
-    found = seen.repartition("shard").sortWithinPartitions("shard", "hash").mapInArrow(build, _BUILT).collect()
+    seen = docs.select("text").mapInArrow(count, SCHEMA)
+    found = seen.repartition("part").mapInArrow(build, _BUILT).collect()
     return _level(found, 1, 1 << bits), sum(r["tokens"] for r in found)
 
 
@@ -207,7 +201,9 @@ class Trie:
                 continue
             mine = np.flatnonzero(shard == k)
             pointers, sequence, codes, book, back_codes, back_book = self._shard(level, k)
-            parent, which = np.unique(parents[mine] - spec.firsts[k], return_inverse=True)
+            parent = parents[mine] - spec.firsts[k]
+            new = np.append(True, parent[1:] != parent[:-1])
+            parent, which = parent[new], np.cumsum(new) - 1
             inside = np.flatnonzero(parent < pointers.n - 1)
             begin, end = np.zeros(len(parent), np.int64), np.zeros(len(parent), np.int64)
             begin[inside] = pointers.access(parent[inside]).astype(np.int64)
@@ -225,9 +221,9 @@ class Trie:
             backs[mine] = has[which]
         return nodes, logs, backs
 
-    def paths(self, hashes: np.ndarray, sizes: np.ndarray, levels: int):
-        """Per token over whole texts: ids, counts, and per level from 1 up (parent, node, log p) as far as ``levels`` are there."""
-        value, which = np.unique(hashes, return_inverse=True)
+    def paths(self, value: np.ndarray, which: np.ndarray, sizes: np.ndarray, levels: int):
+        """Per token of whole texts: id, count, log10 p of the first and of the last of ``levels``; and per level from the
+        second on (parent, node)."""
         id_, count = self.ids(value)
         ids, counts = id_[which], count[which]
         total, distinct = self.model.tokens, self.model.levels[0].offsets[-1]
@@ -276,6 +272,10 @@ class Trie:
     @staticmethod
     def _distinct(parent: np.ndarray, word: np.ndarray):
         """Distinct pairs in order, and which of them each is."""
+        base = int(word.max(initial=0)) + 1
+        if int(parent.max(initial=0)) < 2**62 // base:
+            key, which = np.unique(parent * base + word, return_inverse=True)
+            return (key // base, key % base), which
         order = np.lexsort((word, parent))
         p, w = parent[order], word[order]
         new = np.append(True, (p[1:] != p[:-1]) | (w[1:] != w[:-1])) if len(p) else np.zeros(0, bool)
@@ -301,28 +301,30 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     contexts = model.levels[-1].offsets[-1]
     width = max(1, -(-contexts // shards))
     root = fresh_dir(docs.sparkSession, "trie")
-    names = ["parent", "word", "lower", "n"] if level > 1 else ["parent", "word", "n"]
-
     def count(batches):
         trie = Trie(model)
-        for _, _, hashes, sizes in chunks(batches):
-            ids, _, _, _, steps = trie.paths(hashes, sizes, level)
+        for _, _, value, which, sizes in chunks(batches, size=2 * _TOKENS):
+            if level == 1:
+                ids, steps = trie.ids(value)[0][which], []
+            else:
+                ids, _, _, _, steps = trie.paths(value, which, sizes, level)
             before = steps[-1][1] if steps else ids
             parent = np.append(-1, before[:-1])
             start = np.cumsum(sizes) - sizes
             parent[start] = ids[-1] if level == 1 else -1  # each chunk ends with an end
             use = np.flatnonzero(parent >= 0)
-            (p, w), which = Trie._distinct(parent[use], ids[use])
+            (p, w), pair = Trie._distinct(parent[use], ids[use])
             columns = [p, w]
             if level > 1:
                 lower = np.zeros(len(p), np.int64)
-                lower[which] = before[use]
+                lower[pair] = before[use]
                 columns.append(lower)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, np.bincount(which, minlength=len(p)))], names)
+            yield from dealt(p // width, *columns, np.bincount(pair, minlength=len(p))).to_batches()
 
     def build(batches):
         trie = Trie(model)
-        for shard, columns in _grouped(batches, names):
+        for shard, blobs in by_part(batches):
+            columns = unpacked(blobs, 4 if level > 1 else 3)
             keys, n = _summed(tuple(columns[:2]), columns[-1])
             parent, word = keys
             if level > 1:
@@ -352,15 +354,15 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
             out.close()
             yield _built([(shard, out.stem, len(n), int(n.sum()), shapes)])
 
-    seen = docs.select("text").mapInArrow(count, ", ".join(f"{c} long" for c in names))
-    seen = seen.withColumn("shard", F.floor(F.col("parent") / width).cast("int"))
-    found = seen.repartition("shard").sortWithinPartitions("shard", "parent", "word").mapInArrow(build, _BUILT).collect()
+    seen = docs.select("text").mapInArrow(count, SCHEMA)
+    found = seen.repartition("part").mapInArrow(build, _BUILT).collect()
     return _level(found, 2, shards, [k * width for k in range(shards)])
 
 
 def fit(docs: DataFrame, order: int = 2) -> Model:
     """The trie of all texts of ``docs``. A level is one pass; what the driver holds is a row per shard."""
-    bits = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    total_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(1, (total_bytes // _SHARD_BYTES).bit_length())
     first, total = vocabulary(docs, bits)
     model = Model(total, (first,))
     while len(model.levels) < order and total:
@@ -373,8 +375,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         trie = Trie(model)
-        for batch, first, hashes, sizes in chunks(batches):
-            _, counts, base, log, _ = trie.paths(hashes, sizes, len(model.levels))
+        for batch, first, value, which, sizes in chunks(batches):
+            _, counts, base, log, _ = trie.paths(value, which, sizes, len(model.levels))
             starts = np.cumsum(sizes) - sizes
             rows = batch.slice(first, len(sizes))
             columns = [pa.array(sizes), pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log, starts))]
