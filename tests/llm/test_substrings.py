@@ -46,10 +46,10 @@ def corpus(seed, n=60, alphabet="abcdé \n"):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_brute_force(docs, seed):
     rows = corpus(seed)
-    frame = docs(rows, n_removed="clash", tid="clash")
+    frame = docs(rows, n_removed="clash", tid="clash", first="clash", row="clash", seed="clash")
     out = substrings.removed(frame, 24)
     assert found(out) == brute(rows, 24)
-    assert out.columns == ["doc_id", "lang", "source", "n_chars", "n_bytes", "n_removed", "n_spans", "kept"]
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "tid", "first", "row", "seed", "n_bytes", "n_removed", "n_spans", "kept"]
 
 
 def test_crowded_seeds_are_dealt_by_content(docs, monkeypatch):
