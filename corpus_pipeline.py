@@ -27,10 +27,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     importable(spark)
     near = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    first = near.where("first").select(F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
-    kept = docs.withColumn("text_hash", F.xxhash64("text")).join(first, same, "left_semi")
-    order = Window.partitionBy("doc_id", "text_hash").orderBy("source", "lang", "n_chars")
+    # the same keys in join and window, so that texts move once
+    keys = ["no_id", "id", "text_hash"]
+    named = {"no_id": F.isnull("doc_id"), "id": F.coalesce("doc_id", F.lit(0)), "text_hash": F.xxhash64("text")}
+    first = near.where("first").select(named["no_id"].alias("no_id"), named["id"].alias("id"), "text_hash").distinct()
+    kept = docs.withColumns(named).join(first, keys, "left_semi")
+    order = Window.partitionBy(keys).orderBy("source", "lang", "n_chars")
     return kept.withColumn("nth", F.row_number().over(order)).where("nth = 1").select(COLUMNS)
 
 
