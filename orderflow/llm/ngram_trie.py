@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -13,7 +14,7 @@ from xxhash import xxh64_intdigest
 from orderflow.llm import arrays
 from orderflow.llm.elias_fano import EliasFano
 from orderflow.llm.packing import SCHEMA, by_part, dealt, unpacked
-from orderflow.llm.text import texts, words
+from orderflow.llm.text import words
 from orderflow.sources.workdir import fresh_dir
 
 # The end of a text as a token, and before its first word as context; no word holds a line end.
@@ -30,33 +31,32 @@ def tokens(text: bytes) -> list[bytes]:
     return [*words(text), END]
 
 
-class _Numbers(dict):
-    """Numbers its keys as they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 def chunks(batches, column: str = "text", size: int = _TOKENS):
-    """(batch, first row, distinct token hashes in order, which of them each token is, tokens per row) over about
-    ``size`` tokens at a time."""
+    """(batch, first row, distinct token hashes in order, which of them each token is, tokens per row) over whole rows of
+    about ``size`` tokens, taken as six bytes each."""
     for batch in batches:
-        known = _Numbers()
-        held, sizes, first, count = [], [], 0, 0
-        for low in range(0, batch.num_rows, 256):
-            for i, text in enumerate(texts(batch.column(column).slice(low, 256)), low + 1):
-                own = tokens(text)
-                held.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
-                sizes.append(len(own))
-                count += len(own)
-                if count >= size or i == batch.num_rows:
-                    hashes = np.fromiter(map(xxh64_intdigest, known), np.uint64, len(known))
-                    order = np.argsort(hashes)
-                    rank = np.empty(len(order), np.int64)
-                    rank[order] = np.arange(len(order))
-                    yield batch, first, hashes[order], rank[np.concatenate(held)], np.array(sizes)
-                    held, sizes, first, count, known = [], [], i, 0, _Numbers()
+        bodies = pc.ascii_lower(pc.fill_null(batch.column(column).cast(pa.large_string()), ""))
+        ends = np.cumsum(pc.binary_length(bodies).to_numpy() + 6) // (6 * size)
+        cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), len(ends)]
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            if low == high:
+                continue
+            split = pc.ascii_split_whitespace(bodies.slice(low, high - low))
+            owner = np.repeat(np.arange(high - low), np.diff(split.offsets.to_numpy()))
+            found = split.flatten()
+            # white space at either end leaves an empty string there
+            full = pc.not_equal(found, "")
+            owner, found = owner[full.to_numpy(zero_copy_only=False)], found.filter(full).dictionary_encode()
+            hashes = np.array([*map(xxh64_intdigest, found.dictionary.to_pylist()), xxh64_intdigest(END)], np.uint64)
+            sizes = np.bincount(owner, minlength=high - low) + 1
+            number = np.full(int(sizes.sum()), len(hashes) - 1)
+            word = np.ones(len(number), bool)
+            word[np.cumsum(sizes) - 1] = False
+            number[word] = found.indices.to_numpy()
+            order = np.argsort(hashes)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            yield batch, low, hashes[order], rank[number], sizes
 
 
 @dataclass(frozen=True)
@@ -100,13 +100,12 @@ def _summed(keys: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[list[np.ndarra
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A byte per value and the code book: means of up to 256 equally filled bins."""
-    order = np.argsort(values, kind="stable")
-    code = np.empty(len(values), np.uint8)
-    code[order] = np.arange(len(values)) * 256 // max(len(values), 1)
-    total = np.bincount(code, values, 256)
+    """A byte per value and the code book: means of 256 steps of equal width, so that no value is off by over a step."""
+    low = values.min(initial=0.0)
+    step = max(float(values.max(initial=low) - low) / 255, 1e-12)
+    code = np.rint((values - low) / step).astype(np.uint8)
     count = np.bincount(code, minlength=256)
-    return code, (total / np.maximum(count, 1)).astype(np.float32)
+    return code, (np.bincount(code, values, 256) / np.maximum(count, 1)).astype(np.float32)
 
 
 _BUILT = "shard int, stem string, n long, tokens long, shapes array<long>"
@@ -225,9 +224,8 @@ class Trie:
         """Per token of whole texts: id, count, log10 p of the first and of the last of ``levels``; and per level from the
         second on (parent, node)."""
         id_, count = self.ids(value)
-        ids, counts = id_[which], count[which]
         total, distinct = self.model.tokens, self.model.levels[0].offsets[-1]
-        log = np.log10((counts + 1) / (total + distinct + 1))
+        ids, counts, log = id_[which], count[which], np.log10((count + 1) / (total + distinct + 1))[which]
         start = np.zeros(len(ids), bool)
         start[np.cumsum(sizes) - sizes] = True
         boundary = int(self.ids(np.array([xxh64_intdigest(END)], np.uint64))[0][0])
