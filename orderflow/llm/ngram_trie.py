@@ -77,26 +77,37 @@ def _level(found: list, names: int, shards: int, firsts=()) -> Level:
     return Level(tuple(by[k]["stem"] if k in by else "" for k in range(shards)), tuple(int(x) for x in np.cumsum([0, *sizes])), shapes, tuple(firsts))
 
 
-def _put(out: arrays.Out, name: str, ef: EliasFano) -> tuple[int, int]:
-    for part, kind in _EF:
-        out.append(f"{name}-{part}", getattr(ef, part).astype(kind))
-    return ef.n, ef.l
+def _parts(ef: EliasFano) -> list[np.ndarray]:
+    return [getattr(ef, part).astype(kind) for part, kind in _EF]
 
 
-def _get(stem: str, name: str, shape: tuple[int, int]) -> EliasFano:
-    return EliasFano(*shape, *(arrays.mapped(f"{stem}-{name}-{part}", kind) for part, kind in _EF))
+def _put(root: str, *columns: np.ndarray) -> str:
+    """The stem of one file of all arrays of a shard: their lengths, then each filled up to eight bytes. A task opens every
+    shard of every level, so a file an array would reach the limits of open files and mappings in a large corpus."""
+    out = arrays.Out(root)
+    out.append("level", np.array([len(c) for c in columns], np.uint64))
+    for column in columns:
+        out.append("level", column)
+        out.append("level", np.zeros(-column.nbytes % 8, np.uint8))
+    out.close()
+    return out.stem
 
 
-def _summed(keys: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Rising keys without repeats, and their sums."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    keys, n = tuple(k[order] for k in keys), n[order]
-    new = np.zeros(len(n), bool)
-    new[:1] = True
-    for key in keys:
-        new[1:] |= key[1:] != key[:-1]
-    first = np.flatnonzero(new)
-    return [key[first] for key in keys], np.add.reduceat(n, first)
+def _get(stem: str, kinds: list[str]) -> list[np.ndarray]:
+    raw = arrays.mapped(f"{stem}-level", "uint8")
+    at, out = 8 * len(kinds), []
+    for n, kind in zip(raw[:at].view(np.uint64).tolist(), map(np.dtype, kinds)):
+        out.append(raw[at : at + n * kind.itemsize].view(kind))
+        at += -(-n * kind.itemsize // 8) * 8
+    return out
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rising keys without repeats, their sums, and a row that has each."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first), order[first]
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +151,10 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[Level, int]:
     def build(batches):
         for shard, blobs in by_part(batches):
             value, n = unpacked(blobs, 2)
-            (value,), n = _summed((value,), n)
-            out = arrays.Out(root)
-            shape = _put(out, "words", EliasFano.coded(value.view(np.uint64) - np.uint64(shard << (64 - bits))))
-            out.append("counts", n.astype(np.uint64))
-            out.close()
-            yield _built([(shard, out.stem, len(n), int(n.sum()), list(shape))])
+            value, n, _ = _summed(value, n)
+            coded = EliasFano.coded(value.view(np.uint64) - np.uint64(shard << (64 - bits)))
+            stem = _put(root, *_parts(coded), n.astype(np.uint64))
+            yield _built([(shard, stem, len(n), int(n.sum()), [coded.n, coded.l])])
 
     seen = docs.select("text").mapInArrow(count, SCHEMA)
     found = seen.repartition("part").mapInArrow(build, _BUILT).collect()
@@ -164,11 +173,13 @@ class Trie:
         if (level, k) not in self.open:
             spec = self.model.levels[level]
             stem, shapes = spec.stems[k], spec.shapes[k]
+            kinds = [kind for _, kind in _EF]
             if level == 0:
-                self.open[level, k] = _get(stem, "words", shapes[0]), arrays.mapped(f"{stem}-counts", "uint64")
+                *words_, counts = _get(stem, [*kinds, "uint64"])
+                self.open[level, k] = EliasFano(*shapes[0], *words_), counts
             else:
-                self.open[level, k] = (_get(stem, "pointers", shapes[0]), _get(stem, "nodes", shapes[1]),
-                                       *(arrays.mapped(f"{stem}-{x}", t) for x, t in (("codes", "uint8"), ("book", "float32"), ("backs", "uint8"), ("back-book", "float32"))))
+                columns = _get(stem, [*kinds, *kinds, "uint8", "float32", "uint8", "float32"])
+                self.open[level, k] = EliasFano(*shapes[0], *columns[:3]), EliasFano(*shapes[1], *columns[3:6]), *columns[6:]
         return self.open[level, k]
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,6 +309,7 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     level = len(model.levels)
     contexts = model.levels[-1].offsets[-1]
     width = max(1, -(-contexts // shards))
+    words_ = model.levels[0].offsets[-1]
     root = fresh_dir(docs.sparkSession, "trie")
     def count(batches):
         trie = Trie(model)
@@ -322,20 +334,15 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     def build(batches):
         trie = Trie(model)
         for shard, blobs in by_part(batches):
-            columns = unpacked(blobs, 4 if level > 1 else 3)
-            keys, n = _summed(tuple(columns[:2]), columns[-1])
-            parent, word = keys
-            if level > 1:
-                lower = _summed((columns[0], columns[1]), columns[2])[1] // _summed((columns[0], columns[1]), np.ones(len(columns[0]), np.int64))[1]
-                p_lower = trie.log_of(level - 1, lower)
-            else:
-                p_lower = trie.unigram(word)
+            columns, low = unpacked(blobs, 4 if level > 1 else 3), shard * width
+            key, n, row = _summed((columns[0] - low) * words_ + columns[1], columns[-1])
+            parent, word = key // words_ + low, key % words_
+            p_lower = trie.log_of(level - 1, columns[2][row]) if level > 1 else trie.unigram(word)
             first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
             sizes = np.diff(np.append(first, len(parent)))
             totals = np.add.reduceat(n, first)
             kinds, mass = np.repeat(sizes, sizes), np.repeat(totals, sizes)
             log = np.log10((n + kinds * 10.0**p_lower) / (mass + kinds))
-            low = shard * width
             count_of = min(width, contexts - low)
             per = np.zeros(count_of, np.int64)
             per[parent[first] - low] = sizes
@@ -343,21 +350,16 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
             back[parent[first] - low] = np.log10(sizes / (totals + sizes))
             last = word[first + sizes - 1] + 1
             base = np.repeat(np.cumsum(last) - last, sizes)
-            out = arrays.Out(root)
-            shapes = [*_put(out, "pointers", EliasFano.coded(np.append(0, np.cumsum(per)))), *_put(out, "nodes", EliasFano.coded(base + word + 1))]
-            for name, values in (("codes", log), ("backs", back)):
-                code, book = quantised(values)
-                out.append(name, code)
-                out.append("book" if name == "codes" else "back-book", book)
-            out.close()
-            yield _built([(shard, out.stem, len(n), int(n.sum()), shapes)])
+            pointers, nodes = EliasFano.coded(np.append(0, np.cumsum(per))), EliasFano.coded(base + word + 1)
+            stem = _put(root, *_parts(pointers), *_parts(nodes), *quantised(log), *quantised(back))
+            yield _built([(shard, stem, len(n), int(n.sum()), [pointers.n, pointers.l, nodes.n, nodes.l])])
 
     seen = docs.select("text").mapInArrow(count, SCHEMA)
     found = seen.repartition("part").mapInArrow(build, _BUILT).collect()
     return _level(found, 2, shards, [k * width for k in range(shards)])
 
 
-def fit(docs: DataFrame, order: int = 2) -> Model:
+def fit(docs: DataFrame, order: int = 3) -> Model:
     """The trie of all texts of ``docs``. A level is one pass; what the driver holds is a row per shard."""
     total_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(1, (total_bytes // _SHARD_BYTES).bit_length())
@@ -389,7 +391,7 @@ def split(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     return docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold, F.lit(False)))
 
 
-def evaluated(docs: DataFrame, order: int = 2) -> DataFrame:
+def evaluated(docs: DataFrame, order: int = 3) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text) by a model of those that are not held out.
 
     Tokens are lower-cased words and an end. base_score is the add-one unigram model's log10 probability, score the

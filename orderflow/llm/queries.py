@@ -46,7 +46,7 @@ def op1_decontamination(spark, sf_dir):
 
 @query()
 def op2_lm_scoring(spark, sf_dir):
-    return ngram_trie.evaluated(table(spark, sf_dir, "documents"))
+    return ngram_trie.evaluated(table(spark, sf_dir, "documents"), order=3)
 
 
 URL_RULES = [urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),

@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 
 from orderflow.llm import ngram_trie as t
 from orderflow.llm.elias_fano import EliasFano
+from orderflow.llm.queries import QUERIES
 
 
 @settings(max_examples=200, deadline=None)
@@ -93,3 +95,21 @@ def test_nothing_to_learn_or_to_score(docs):
     only = next(i for i in range(100) if held(i))
     (r,) = t.evaluated(docs([(only, "some words")])).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_the_query_scores_by_three_words(docs, spark, tmp_path):
+    rows = texts(2)
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.score) for r in QUERIES["op2_lm_scoring"](spark, str(tmp_path)).collect()), key=str)
+    want, two = by_hand(rows, 3), by_hand(rows, 2)
+    assert all(g[:3] == w[:3] and abs(g[3] - w[6]) <= 0.05 * w[2] for g, w in zip(got, want))
+    assert sum(w[6] - x[6] for w, x in zip(want, two)) > 0.1 * sum(w[2] for w in want)  # two words would be off by more
+
+
+def test_a_shard_of_a_level_is_one_file(docs):
+    model = t.fit(docs(texts(3)))
+    assert len(model.levels) == 3
+    for level in model.levels:
+        for stem in filter(None, level.stems):
+            folder, _, name = stem.removeprefix("file:").rpartition("/")
+            assert [p.name for p in Path(folder).glob(f"{name}*") if p.suffix != ".crc"] == [f"{name}-level"]
