@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from orderflow.sources.workdir import stored
 WILD, END = "*", "$"
 # A segment that is plainly variable, and its extension.
 VARIABLE = r"^(?:[0-9]+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{32,})(\.[A-Za-z]{1,5})?\z"
+# Levels between two writes: a plan names its input several times a level, and would grow by that factor with each.
+_LEVELS = 3
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -91,23 +94,40 @@ def _merged(leaves: DataFrame, level: int, z: float) -> DataFrame:
 def tree(shapes: DataFrame, depth: int, max_children: int, rare: float, z: float) -> DataFrame:
     """(host, path, template, bad, labelled) of each shape (host, path, segments, n, bad, labelled); counts are the template's.
 
-    Templates come level by level; below ``depth`` all is one wildcard. Then branches merge from the deepest level up.
+    ``depth`` is the greatest number of segments. Templates come level by level to the end of every path; then branches
+    merge from the deepest level up. Every few levels the rows are written, and only paths that reach further are
+    worked on, so a few deep paths cost passes over few rows.
     """
-    grown = shapes.withColumn("prefix", F.lit(""))
+    grown, ended = shapes.withColumn("prefix", F.lit("")), []
     for level in range(depth):
+        if level and level % _LEVELS == 0:
+            grown = stored(grown, "url-level")
+            ended.append(grown.where(F.size("segments") <= level))
+            grown = grown.where(F.size("segments") > level)
         grown = _generalised(grown, level, max_children, rare)
-    deep = F.when(F.size("segments") > depth, F.lit("/" + WILD * 2)).otherwise("")
-    way = stored(grown.select("host", "path", F.concat("prefix", deep).alias("leaf"), "bad", "labelled"), "url-tree")
+    grown = reduce(DataFrame.unionByName, ended, grown)
+    way = stored(grown.select("host", "path", F.col("prefix").alias("leaf"), "bad", "labelled"), "url-tree")
     leaves = way.groupBy("host", "leaf").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).withColumn("template", F.col("leaf"))
-    for level in range(depth, 0, -1):
-        leaves = _merged(leaves, level, z)
+    if depth > _LEVELS:
+        leaves = stored(leaves, "url-leaves")
+    reach, all_leaves, merging = F.size(F.split("leaf", "/", -1)), leaves, None
+    for low in range((depth - 1) // _LEVELS * _LEVELS, -1, -_LEVELS):
+        high = min(low + _LEVELS, depth)
+        # a merge at a level is among templates that reach it
+        own = all_leaves if depth <= _LEVELS else all_leaves.where((reach > low + 1) & (reach <= high + 1) if low else reach <= high + 1)
+        merging = own if merging is None else merging.unionByName(own)
+        for level in range(high, low, -1):
+            merging = _merged(merging, level, z)
+        if low:
+            merging = stored(merging.select(*all_leaves.columns), "url-merged")
+    leaves = all_leaves if merging is None else merging
     leaves = leaves.select("host", "leaf", "template", "bad", "labelled")
     purity = leaves.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
     final = leaves.select("host", "leaf", "template").join(purity, ["host", "template"])
     return way.select("host", "path", "leaf").join(final, ["host", "leaf"]).drop("leaf")
 
 
-def judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], depth: int = 3, max_children: int = 32,
+def judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], max_children: int = 32,
            rare: float = 0.02, z: float = 1.96, prior: float = 20.0, limit: float = 0.5) -> DataFrame:
     """page_id, url, host, path, rule, template, purity and verdict (allow or block) of every page.
 
@@ -129,9 +149,9 @@ def judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], depth: int =
     labelled = rows.join(known, "page_id", "left").withColumn("label", F.coalesce(by_rule, F.col("label")))
     shapes = labelled.groupBy("host", "shape").agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"), F.count("label").alias("labelled"))
     shapes = stored(shapes.withColumnRenamed("shape", "path").withColumn("segments", F.split("path", "/", -1)), "url-shapes")
-    bad, count = shapes.agg(F.sum("bad"), F.sum("labelled")).first()
+    bad, count, depth = shapes.agg(F.sum("bad"), F.sum("labelled"), F.max(F.size("segments"))).first()
     share = bad / count if count else 0.0
-    judged_templates = tree(shapes, depth, max_children, rare, z).select(
+    judged_templates = tree(shapes, depth or 0, max_children, rare, z).select(
         "host", F.col("path").alias("shape"), "template",
         ((F.col("bad") + prior * share) / (F.col("labelled") + prior)).alias("purity"))
     verdict = F.when(by_rule == 1, "block").when(by_rule == 0, "allow").when(F.col("purity") >= limit, "block").otherwise("allow")

@@ -1,10 +1,13 @@
 import random
 from collections import Counter
 
+import duckdb
+from compare import differences
 from pyspark.sql import functions as F
 
 from orderflow.llm import urls
 from orderflow.llm.queries import URL_RULES
+from orderflow.llm.url_sql import judged_sql
 
 PAGES, LABELS = "page_id long, url string, html string, host string", "doc_id long, quality int, toxic int"
 
@@ -72,3 +75,20 @@ def test_shapes(spark):
     cases = {"/en/123.html": "en/*.html", "/en/123/": "en/*/", "/a/deadbeef01": "a/*", "": "", "/x1/y": "x1/y"}
     frame = spark.createDataFrame([(k,) for k in cases], "p string").withColumn("s", F.concat_ws("/", urls.shape(F.col("p"))))
     assert {r.p: r.s for r in frame.collect()} == cases
+
+
+def test_paths_are_judged_to_their_end(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i, f"http://deep.net/en/2024/05/{'casino' if i % 2 else 'news'}/{i}") for i in range(300)]
+    rows += [(1000 + i, "http://far.net/" + "/".join(rng.choice(["a", "b", f"w{i}x"]) for _ in range(rng.randint(1, 8)))) for i in range(300)]
+    rows += [(2000 + i, f"http://wide.net/x/y/z/{i}w/{rng.choice('ab')}/end") for i in range(100)]
+    pages, labels = frames(spark, rows, [(i, 0 if i % 2 else 1, 0) for i, _ in rows if i % 3])
+    got = urls.judged(pages, labels, URL_RULES)
+    verdicts = Counter((r.template, r.verdict) for r in got.collect() if r.host == "deep.net")
+    assert verdicts == {("/en/*/*/casino/*", "block"): 150, ("/en/*/*/news/*", "allow"): 150}
+    con = duckdb.connect()
+    for name, frame in (("pages", pages), ("labels", labels)):
+        frame.write.parquet(str(tmp_path / name))
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}/*.parquet')")
+    columns = "page_id", "host", "path", "rule", "verdict", "template", "purity"
+    assert not differences(got.select(*columns), con, judged_sql(URL_RULES, depth=8))
