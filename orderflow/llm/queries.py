@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, classifier, contamination, mixing, ngram_trie, perplexity, simhash, substrings, url_sql, urls, warc
+from orderflow.llm import bpe, chat, classifier, contamination, mixing, ngram_trie, perplexity, simhash, substrings, url_sql, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -140,3 +140,14 @@ def op10_source_mixing(spark, sf_dir):
     rows = packed.where("size > 0").join(taken, ["skey", "start"], "left").unionByName(packed.where("size = 0").withColumn("taken", F.lit(0)))
     totals = mixed.sources.select("skey", F.col("words").alias("source_size"), "target")
     return rows.join(totals, "skey").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+@query()
+def op11_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    tokenizer = bpe.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer).select("doc_id", "ids")
+    return bpe.decoded(ids, tokenizer).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
