@@ -1,0 +1,134 @@
+"""Interning against dictionaries, and the draw against a plain second implementation."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from orderflow.llm import queries, resampling
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text)
+
+
+def features(text):
+    words = WORDS.findall(lower(text or ""))
+    return words, Counter(" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1))
+
+
+def brute(docs, target, percent=5, least=20, buckets=10_000):
+    """(doc_id, n_features, weight, score, rank) of (doc_id, text) pairs."""
+    def counted(texts):
+        sums = Counter()
+        for t in texts:
+            for f, n in features(t)[1].items():
+                sums[zlib.crc32(f.encode()) % buckets] += n
+        return sums, sum(sums.values())
+
+    (s, all_s), (t, all_t) = counted(t for _, t in docs), counted(target)
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)]
+    rows = []
+    for i, text in docs:
+        words, own = features(text)
+        weight = sum(n * gain[zlib.crc32(f.encode()) % buckets] for f, n in own.items())
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([i, sum(own.values()), weight, score, None, len(words)])
+    fit = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0]))
+    for k, r in enumerate(fit[: percent * len(fit) // 100]):
+        r[4] = k + 1
+    return [tuple(r[:5]) for r in rows]
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=str)
+
+
+def test_hashes():
+    rnd = np.random.default_rng(1)
+    data = rnd.integers(0, 256, 3000, dtype=np.uint8)
+    raw = data.tobytes()
+    for size in [*range(100), 255, 256]:
+        starts = rnd.integers(0, 2700, 20)
+        assert resampling.xxh64(data, starts, size, 9).tolist() == [xxhash.xxh64_intdigest(raw[s : s + size], 9) for s in starts]
+        assert resampling.crc32(data, starts, size).tolist() == [zlib.crc32(raw[s : s + size]) for s in starts]
+
+
+@pytest.mark.parametrize("block", [3, 1 << 17])
+def test_interned(block, monkeypatch):
+    monkeypatch.setattr(resampling, "_BLOCK", block)
+    texts = ["A b a B a", None, "", "...", "é É 1x" + "y" * 300 + " 2x" + "y" * 300 + " 1x" + "y" * 300, "b", "a" * 5000, "a " * 200]
+    found, by_text = Counter(), Counter()
+    for grams in resampling.interned(pa.array(texts), 3, 10_000):
+        assert (np.bincount(grams.slot, minlength=len(grams.count)) == grams.count).all() and (grams.count > 0).all()
+        for b, n in zip(grams.bucket.tolist(), grams.count.tolist()):
+            found[b] += n
+        for slot, text in zip(grams.slot.tolist(), grams.text.tolist()):
+            by_text[text, int(grams.bucket[slot])] += 1
+    want = Counter()
+    for i, t in enumerate(texts):
+        for f, n in features(t)[1].items():
+            want[i, zlib.crc32(f.encode()) % 10_000] += n
+    assert by_text == want
+    assert sum(found.values()) == sum(want.values())
+
+
+def test_equal_keys_are_told_apart_by_their_bytes():
+    raw = b"aabbaaccaaccbb"
+    data = np.frombuffer(raw + bytes(8), np.uint8)
+    starts, sizes = np.arange(0, 14, 2), np.full(7, 2)
+    starts, sizes = np.append(starts, 0), np.append(sizes, 4)
+    slot, owner = resampling.intern(data, starts, sizes, np.zeros(8, np.uint64))
+    strings = [raw[a : a + n] for a, n in zip(starts, sizes)]
+    assert [strings[owner[s]] for s in slot] == strings and len(owner) == 4
+
+
+def test_ties_nulls_repeats_and_clashing_columns(spark, docs):
+    body = "the cat sat on the mat and then it went off to sea in a boat of green paper with a moon "
+    rows = [(i, body + f"word{i % 7} " * (i % 5)) for i in range(60)] + [(5, body), (5, body), (None, body), (None, body * 2), (80, None), (81, ""), (82, "few")]
+    frame = docs(rows, rank=3, weight="w", score="s", n_words=1, _part="p", _place="q")
+    target = spark.createDataFrame([("the cat of green paper",), (None,)], "text string")
+    got = resampling.resampled(frame, target, percent=30)
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "n_features", "n_words", "weight", "score", "rank"]
+    assert rows_of(got) == sorted(brute(rows, ["the cat of green paper"], 30), key=str)
+
+
+def test_a_third_of_all_rows_equal(spark, docs):
+    body = "one two three four five six seven eight nine ten " * 3
+    rows = [(7, body)] * 400 + [(i, body + str(i)) for i in range(1000, 1800)]
+    got = resampling.resampled(docs(rows).repartition(5), spark.createDataFrame([("six seven",)], "text string"), percent=50)
+    ranks = sorted(r["rank"] for r in got.collect() if r["rank"])
+    assert ranks == list(range(1, 601))
+    assert rows_of(got) == sorted(brute(rows, ["six seven"], 50), key=str)
+
+
+def test_empty_tables(spark, docs):
+    none = spark.createDataFrame([], "text string")
+    assert resampling.resampled(docs([]), none).collect() == []
+    rows = [(i, "a b c d e f g h i j k l m n o p q r s t u v" * 2) for i in range(20)]
+    assert rows_of(resampling.resampled(docs(rows), none)) == sorted(brute(rows, []), key=str)
+
+
+def test_very_long_text(spark, docs):
+    rows = [(1, " ".join(str(i % 977) for i in range(200_000))), (2, "z" * 300_000), (3, "1 2 3 " * 10)]
+    assert rows_of(resampling.resampled(docs(rows), docs(rows), percent=100)) == sorted(brute(rows, [t for _, t in rows], 100), key=str)
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    target = [r[0] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").collect()]
+    got = queries.QUERIES["op12_importance_resampling"](spark, sf_dir)
+    assert [t for _, t in got.dtypes] == ["bigint"] * 5
+    assert rows_of(got) == sorted(brute(docs, target), key=str)
+    assert got.agg(F.count("rank")).first()[0] > 0
