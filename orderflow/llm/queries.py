@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, centroids, chat, classifier, contamination, mixing, ngram_trie, perplexity, resampling, simhash, substrings, url_sql, urls, warc
+from orderflow.llm import bpe, centroids, chat, classifier, contamination, learning_sql, mixing, ngram_trie, perplexity, resampling, simhash, substrings, url_sql, urls, warc
 from orderflow.llm.text import table
 from orderflow.llm.workers import importable
 
@@ -153,13 +153,13 @@ def op11_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query()
+@query(learning_sql.resampled_sql(percent=5, least_words=20, buckets=10_000, seed=42))
 def op12_importance_resampling(spark, sf_dir):
     docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     drawn = resampling.resampled(docs, target, percent=5, least_words=20, order=3, buckets=10_000, seed=42)
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-@query()
+@query(learning_sql.clustered_sql(k=16, rounds=3, dims=64, scale=64, seed=1))
 def op13_centroid_clustering(spark, sf_dir):
     return centroids.clustered(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, width=32, seed=1)
