@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.functions import ends_with_any, event_key_decode, partition_date, starts_with_any
 from orderflow.functions.time import epoch_seconds
-from orderflow.sources.workdir import stored
+from orderflow.sources.workdir import stored_observed
 
 # Event format names, accepted endings, repeat window, alert window.
 TEST_EVENT = "s3:TestEvent"
@@ -19,7 +19,7 @@ TTL_SECONDS = 86400
 ALERT_SECONDS = 300
 ALERT_THRESHOLD = 1
 
-# Time folded at once when repeats are dropped: 30 days.
+# Time of one key that a task sorts when repeats are dropped: 30 days.
 SLICE_SECONDS = 30 * 86400
 
 _NAMED = "struct<bucket: struct<name: string>, object: struct<key: string>>"
@@ -107,24 +107,46 @@ def validate_events(df: DataFrame, bucket: str, prefixes: Sequence[str]) -> Data
     return df.withColumn("reason", rejection(bucket, prefixes, F.col("malformed") if "malformed" in df.columns else None))
 
 
-def _accepted_seconds(
-    seconds: DataFrame, key: str, ttl_seconds: int, locks: DataFrame | None
-) -> DataFrame:
-    """(key, second) accepted among the distinct (key, second) of one slice of time, folded key by key."""
-    per_key = seconds.groupBy(key).agg(F.collect_list("second").alias("_seconds"))
-    last = F.lit(None).cast("bigint")
-    if locks is not None:
-        per_key = per_key.join(locks.select(key, F.col("second").alias("_locked")), key, "left")
-        last = F.col("_locked")
-
-    def step(state: Column, second: Column) -> Column:
-        free = state["last"].isNull() | (second >= state["last"] + ttl_seconds)
-        return F.when(free, F.struct(
-            F.concat(state["taken"], F.array(second)).alias("taken"), second.alias("last"))).otherwise(state)
+def _pointers(seconds: DataFrame, key: str, ttl_seconds: int, slice_seconds: int) -> DataFrame:
+    """(key, second, to, reached): seconds that are accepted whatever else is, and each second's next one.
 
-    start = F.struct(F.array().cast("array<bigint>").alias("taken"), last.alias("last"))
-    return per_key.select(key, F.explode(F.aggregate(
-        F.array_sort("_seconds"), start, step, lambda s: s["taken"])).alias("second"))
+    A second with none in the ttl before it heads a chain and is accepted; ``to`` is the first second of the chain that is at least a ttl
+    later. Both are found within slices of time, with the seconds a ttl around a slice copied into it: a slice of one
+    key is what a task sorts, and it spills. Seconds that neither head a chain nor have a next one are left out.
+    """
+    width, own = F.lit(slice_seconds), F.floor(F.col("second") / slice_seconds)
+    before = F.when(F.col("second") - own * width < ttl_seconds, own - 1)
+    after = F.when(F.col("second") >= (own + 1) * width - ttl_seconds, own + 1)
+    data = seconds.select(
+        key, "second", own.alias("_own"), F.explode(F.array_compact(F.array(own, before, after))).alias("_slice")).select(
+        key, "_slice", F.col("second").alias("_at"), F.col("second").alias("_data"), F.col("second").alias("_from"),
+        (F.col("_slice") == F.col("_own")).alias("_is_own"))
+    goal = F.col("second") + ttl_seconds
+    goals = seconds.select(key, F.floor(goal / slice_seconds).alias("_slice"), goal.alias("_at"), F.lit(None).cast("bigint").alias("_data"),
+                           F.col("second").alias("_from"), F.lit(False).alias("_is_own"))
+    slice_ = Window.partitionBy(key, "_slice")
+    rising = slice_.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    falling = slice_.orderBy(F.desc("_at"), F.desc_nulls_last("_data")).rowsBetween(Window.unboundedPreceding, 0)
+    seen = data.unionByName(goals).select(
+        key, "_at", "_data", "_from", "_is_own", F.last("_data", ignorenulls=True).over(rising).alias("_before"),
+        F.last("_data", ignorenulls=True).over(falling).alias("_next"))
+    lone = F.col("_is_own") & (F.col("_before").isNull() | (F.col("_at") - F.col("_before") >= ttl_seconds))
+    step = F.when(F.col("_data").isNull() & (F.col("_next") - F.col("_at") < ttl_seconds), F.col("_next"))
+    return _joined_up(seen.select(key, F.col("_from").alias("second"), step.alias("to"), lone.alias("reached")), key)
+
+
+def _joined_up(pointers: DataFrame, key: str) -> DataFrame:
+    told = pointers.filter("to is not null or reached")
+    return told.groupBy(key, "second").agg(F.max("to").alias("to"), F.bool_or("reached").alias("reached"))
+
+
+def _doubled(pointers: DataFrame, key: str) -> DataFrame:
+    """Where accepted seconds point is accepted too; then each pointer goes as far again."""
+    going, done = pointers.filter("to is not null"), pointers.filter("to is null")
+    onward = going.select(key, F.col("second").alias("to"), F.col("to").alias("_beyond"))
+    further = going.join(onward, [key, "to"], "left").select(key, "second", F.col("_beyond").alias("to"), "reached")
+    met = going.filter("reached").select(key, F.col("to").alias("second"), F.lit(None).cast("bigint").alias("to"), F.lit(True).alias("reached"))
+    return _joined_up(further.unionByName(met).unionByName(done), key)
 
 
 def accepted_arrivals(
@@ -137,26 +159,26 @@ def accepted_arrivals(
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """(key, second, *ident) of the arrivals that find no lock: the first of a key, then each
-    first one at least ``ttl_seconds`` after the last *accepted* one.
-
-    Arrivals are first reduced to the distinct seconds of a key, combined before the shuffle, so what is folded for a
-    key never depends on how often it arrived. Time is folded slice by slice, the last accepted second of each key
-    going from one slice to the next: no row holds more than ``slice_seconds`` numbers, however long the history.
-    ``df`` is scanned a few times: store it first when it is costly to compute. ``locks`` (key, second) carries the
-    last accepted second of each key over from earlier batches. ``ident`` names one arrival within its key.
+    first one at least ``ttl_seconds`` after the last *accepted* one. Arrivals without a time or key find none free.
+
+    Arrivals are first reduced to the distinct seconds of a key, combined before the shuffle. Where a key is silent for
+    a ttl a new chain starts, whose head is accepted. Within chains each second points to the first one a ttl later,
+    and pointers are doubled from the heads on: as many rounds as the logarithm of the most acceptances in a row, whatever the calendar between
+    the first and the last arrival. No row holds a key's history. ``df`` is scanned twice: store it first when it is costly to compute.
+    ``locks`` (key, second) carries the last accepted second of each key over from earlier batches. ``ident`` names one
+    arrival within its key.
     """
-    timed = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident)
+    timed = df.select(key, epoch_seconds(df, ts).alias("second"), ts, *ident).filter(F.col("second").isNotNull() & F.col(key).isNotNull())
     seconds = timed.select(key, "second").distinct()
-    span = seconds.agg(F.min("second").alias("low"), F.max("second").alias("high")).first()
-    if span["low"] is None or span["high"] - span["low"] < slice_seconds:
-        taken = _accepted_seconds(seconds, key, ttl_seconds, locks)
-    else:
-        seconds, taken = stored(seconds, "seconds"), None
-        for low in range(span["low"], span["high"] + 1, slice_seconds):
-            part = stored(_accepted_seconds(
-                seconds.filter(F.col("second").between(low, low + slice_seconds - 1)), key, ttl_seconds, locks), "accepted")
-            locks = stored(live_locks(locks, part, key), "slice-locks")
-            taken = part if taken is None else taken.unionByName(part)
+    if locks is not None:
+        held = locks.groupBy(key).agg(F.max("second").alias("_locked"))
+        free = F.col("_locked").isNull() | (F.col("second") >= F.col("_locked") + ttl_seconds)
+        seconds = seconds.join(held, key, "left").filter(free).select(key, "second")
+    going = F.count("to").alias("going")
+    pointers, found = stored_observed(_pointers(seconds, key, ttl_seconds, max(slice_seconds, 2 * ttl_seconds)), "chains", going)
+    while found["going"]:
+        pointers, found = stored_observed(_doubled(pointers, key), "chains", going)
+    taken = pointers.filter("reached").select(key, "second")
     # Of the arrivals within one accepted second the first is the one; the join leaves few of them.
     return (
         timed.join(taken, [key, "second"])

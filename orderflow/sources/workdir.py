@@ -10,7 +10,7 @@ import uuid
 from functools import lru_cache
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_observed(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and what the write itself counted: no pass of its own."""
+    seen = Observation()
+    rows = stored(df.observe(seen, *metrics), name)
+    return rows, seen.get
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that nothing reads any more."""
     _filesystem(spark, path).delete(_path(spark, path), True)

@@ -1,47 +1,147 @@
-"""Arrival events as a stream, with locks that outlive a micro-batch."""
+"""Arrival events as a stream: routing with locks in Spark's keyed state, and alert windows."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from orderflow.functions.time import epoch_seconds
 from orderflow.operators import events
 from orderflow.operators.events import TTL_SECONDS
-from orderflow.sources.workdir import children, discard
 
+# How late an arrival may come and still be held against the lock of its time. A lock is a key and a number on an
+# executor's disk, so a whole season of them is cheap.
+DELAY_SECONDS = 120 * 86400
 
-# Micro-batches between two full lock tables.
-_FULL_EVERY = 16
-DELAY_SECONDS = 7 * 86400
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def read_routed(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/routed")
+def read_routed(spark: SparkSession, root: str, status: str | None = None) -> DataFrame:
+    """All routed arrivals, or those of one status: each status has a folder of its own."""
+    routed = spark.read.parquet(f"{root}/routed")
+    return routed if status is None else routed.filter(F.col("status") == status)
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    """Micro-batches that have written a folder, by its name ``batch_id=n``."""
-    return sorted(int(n.removeprefix("batch_id=")) for n in children(spark, folder) if n.startswith("batch_id="))
+@contextmanager
+def _keyed_state(spark: SparkSession) -> Iterator[None]:
+    """State that lives on executors' disks, for a query started inside; the checkpoint remembers it."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
-def _locks_before(spark: SparkSession, root: str, batch_id: int) -> tuple[DataFrame | None, int | None]:
-    """Locks and watermark that a micro-batch starts from: the last full table before it, and the changes since."""
-    full = max((n for n in _numbers(spark, f"{root}/locks") if n < batch_id), default=-1)
-    changes = [n for n in _numbers(spark, f"{root}/changes") if full < n < batch_id]
-    paths = [f"{root}/changes/batch_id={n}" for n in changes]
-    if full >= 0:
-        paths.append(f"{root}/locks/batch_id={full}")
-    marks = [n for n in _numbers(spark, f"{root}/watermark") if n < batch_id]
-    mark = spark.read.parquet(f"{root}/watermark/batch_id={marks[-1]}").first()[0] if marks else None
-    return (spark.read.schema(_LOCK).parquet(*paths) if paths else None), mark
+class Locks(StatefulProcessor):
+    """A key's last accepted second, and a timer that forgets it when no arrival in time can meet it.
+
+    A micro-batch's arrivals of a key come in any order and in pieces. Of those in one second only the first can be accepted, so
+    a task holds one arrival per second of a key and passes the others on at once. When all have come, the seconds are
+    gone through in jumps: the first one free, then the first one at least the time to live after it.
+    """
+
+    def __init__(self, ttl_seconds: int, order: Sequence[str]):
+        self.ttl_seconds, self.order = ttl_seconds, ["_second", *order]
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", T.StructType().add("second", "long"))
+
+    def _first_of_each_second(self, pieces: list[pd.DataFrame]) -> tuple[pd.DataFrame, pd.DataFrame]:
+        rows = pd.concat(pieces).sort_values(self.order, kind="stable", ignore_index=True)
+        later = rows["_second"].duplicated()
+        return rows[~later], rows[later]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held, waiting, size = [], [], 0
+        for piece in rows:
+            # the columns come in order but without their names
+            waiting.append(piece.set_axis(["_key", *self.order, "_row"], axis=1))
+            size += len(piece)
+            if size >= max(10_000, sum(map(len, held))):
+                first, later = self._first_of_each_second([*held, *waiting])
+                held, waiting, size = [first], [], 0
+                yield _marked(later, False)
+        first, later = self._first_of_each_second([*held, *waiting])
+        yield _marked(later, False)
+
+        before = self.last.get()[0] if self.last.exists() else None
+        seconds = first["_second"].to_numpy(np.int64)
+        taken = np.zeros(len(seconds), bool)
+        last, at = before, 0 if before is None else int(np.searchsorted(seconds, before + self.ttl_seconds))
+        while at < len(seconds):
+            taken[at], last = True, int(seconds[at])
+            at = int(np.searchsorted(seconds, last + self.ttl_seconds))
+        if last != before:
+            self.last.update((last,))
+            if before is not None:
+                self.handle.deleteTimer(self._ends(before))
+            self.handle.registerTimer(self._ends(last))
+        yield _marked(first, taken)
+
+    def _ends(self, second: int) -> int:
+        return (second + self.ttl_seconds) * 1000
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _marked(rows: pd.DataFrame, taken) -> pd.DataFrame:
+    return pd.DataFrame({"_row": rows["_row"].to_numpy(), "_taken": taken}, index=range(len(rows)))
+
+
+# Types that pass through text unharmed.
+_PLAIN = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)
 
 
-_LOCK = "key string, second bigint"
+def _as_text(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_micros(field.name).cast("string")
+    if not isinstance(field.dataType, _PLAIN):
+        raise ValueError(f"column {field.name} of type {field.dataType.simpleString()} can't be routed")
+    return F.col(field.name).cast("string")
+
+
+def _of_text(field: T.StructField, text: Column) -> Column:
+    if isinstance(field.dataType, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint")).alias(field.name)
+    return text.cast(field.dataType).alias(field.name)
+
+
+def locked(valid: DataFrame, ts: str, ident: Sequence[str], ttl_seconds: int, delay_seconds: int) -> DataFrame:
+    """A stream's valid arrivals with ``_taken``: whether each finds its key free.
+
+    The watermark is on a copy of the time that goes no further, so that timers follow it while late arrivals still come
+    through. An arrival from the future does not move it: times later than now count as now.
+    """
+    names = list(valid.columns)
+    timed = valid.withColumn("_time", F.least(F.col(ts).cast("timestamp"), F.current_timestamp()))
+    timed = timed.withWatermark("_time", f"{delay_seconds} seconds")
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    order = {"_micros": micros}
+    for i, c in enumerate(ident):
+        whole = isinstance(valid.schema[c].dataType, T.IntegralType)
+        order[f"_order{i}"] = F.coalesce(F.col(c).cast("bigint"), F.lit(-2**63)) if whole else F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = timed.select(
+        F.col("key").alias("_key"), epoch_seconds(valid, ts).alias("_second"), *[c.alias(n) for n, c in order.items()],
+        F.array(*[_as_text(valid.schema[c]) for c in names]).alias("_row"))
+    marked = rows.groupBy("_key").transformWithStateInPandas(
+        Locks(ttl_seconds, list(order)), "_row array<string>, _taken boolean", outputMode="Append", timeMode="EventTime")
+    return marked.select(*[_of_text(valid.schema[c], F.get("_row", F.lit(i))) for i, c in enumerate(names)], "_taken")
 
 
 def route_stream(
@@ -59,53 +159,36 @@ def route_stream(
 ) -> StreamingQuery:
     """Route all waiting arrivals, exact across micro-batches and restarts.
 
-    ``arrivals`` holds parsed events, or raw envelopes when ``payload`` names their column. Within a micro-batch
+    ``arrivals`` holds parsed events, or raw envelopes when ``payload`` names their column. Malformed and skipped arrivals
+    need no state. Of valid ones those of a key meet in Spark's keyed state, which the checkpoint keeps. Within a micro-batch
     arrivals go by time; across micro-batches a key's last accepted second decides, so an arrival that comes late, with
-    a time before that second, is a duplicate. Micro-batch n writes its routed rows, the locks it took and its watermark
-    under its own number, so a replay overwrites its own output with the same rows. Every 16th writes the whole lock
-    table without those locks that ended before the watermark, and removes older tables; nothing is forgotten between.
-    The watermark is the newest second of all earlier micro-batches less ``delay_seconds`` and never goes back, so only
-    an arrival that is late by more than the delay can be accepted beside an earlier one.
+    a time before that second, is a duplicate. An arrival without a time finds no free lock. A timer forgets a lock when the watermark, the newest
+    time less ``delay_seconds``, has passed its end, so only an arrival that is late by more than the delay can be accepted beside an
+    earlier one. Rows go to ``routed/status=…/batch_id=…``, a sink per status; a replayed micro-batch overwrites its own.
     """
-    def route(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = batch if payload is None else events.parse_events(
-            batch, payload, run_date or dt.date.today())
-        parsed_path = f"{root}/parsed/batch_id={batch_id}"
-        parsed.write.mode("overwrite").parquet(parsed_path)
-        parsed = spark.read.schema(parsed.schema).parquet(parsed_path)
-        locks, mark = _locks_before(spark, root, batch_id)
-        if locks is not None:
-            locks = events.live_locks(None, locks, "key")
-        routed_path = f"{root}/routed/batch_id={batch_id}"
-        events.route_events(parsed, bucket, prefixes, ts, ident, ttl_seconds, locks).write.mode(
-            "overwrite").parquet(routed_path)
-
-        routed = spark.read.parquet(routed_path)
-        seconds = routed.withColumn("second", epoch_seconds(routed, ts))
-        taken = seconds.filter(F.col("status") == events.ACCEPTED)
-        events.live_locks(None, taken, "key").write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
-        newest = seconds.select(F.greatest(F.max("second") - delay_seconds, F.lit(mark).cast("bigint")).alias("mark"))
-        newest.write.mode("overwrite").parquet(f"{root}/watermark/batch_id={batch_id}")
-        if batch_id % _FULL_EVERY == _FULL_EVERY - 1:
-            changes = spark.read.schema(_LOCK).parquet(f"{root}/changes/batch_id={batch_id}")
-            ended = None if mark is None else mark - ttl_seconds
-            events.live_locks(locks, changes, "key", ended).write.mode("overwrite").parquet(
-                f"{root}/locks/batch_id={batch_id}")
-            # A replay of this micro-batch still needs what it started from.
-            for folder in ("locks", "changes", "watermark", "parsed"):
-                for n in _numbers(spark, f"{root}/{folder}"):
-                    if n < batch_id - _FULL_EVERY:
-                        discard(spark, f"{root}/{folder}/batch_id={n}")
-        discard(spark, parsed_path)
+    spark = arrivals.sparkSession
+    parsed = arrivals if payload is None else events.parse_events(arrivals, payload, run_date or dt.date.today())
+    checked = events.validate_events(parsed, bucket, prefixes)
+    malformed = F.col("malformed") if "malformed" in parsed.columns else F.lit(False)
+    valid = F.col("reason").isNull() & F.col(ts).isNotNull()
+    apart = checked.filter(~valid).withColumn("status", F.when(malformed, events.MALFORMED).when(
+        F.col("reason").isNotNull(), events.SKIPPED).otherwise(events.DUPLICATE))
+    kept = locked(checked.filter(valid), ts, ident, ttl_seconds, delay_seconds)
+    kept = kept.withColumn("status", F.when(F.col("_taken"), events.ACCEPTED).otherwise(events.DUPLICATE)).drop("_taken")
 
-    query = (
-        arrivals.writeStream.foreachBatch(route)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "status", "batch_id").parquet(f"{root}/routed")
+
+    with _keyed_state(spark):
+        query = (
+            apart.unionByName(kept).writeStream.foreachBatch(write)
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return query
 
 

@@ -113,6 +113,45 @@ def test_repeats_against_brute_force_with_a_hot_key(spark, seed):
     assert {r["ident"] for r in marked.collect() if r["is_accepted"]} == brute_force(rows, 7200, locks)
 
 
+@pytest.mark.parametrize("slice_seconds", [1, 20_000, 10**9])
+def test_chains_cut_by_slices(spark, slice_seconds):
+    rng = random.Random(slice_seconds)
+    rows = [(f"k{rng.randrange(4)}", rng.randrange(-300_000, 300_000) // 10 * 10, i) for i in range(2500)]
+    rows += [("dense", s, 10_000 + s) for s in range(0, 200_000, 97)]
+    got = events.accepted_arrivals(arrivals(spark, rows), "key", "ts", ["ident"], 7200, slice_seconds=slice_seconds)
+    assert {r["ident"] for r in got.collect()} == brute_force(rows, 7200)
+
+
+def jobs_of(spark, run):
+    tracker, group = spark.sparkContext.statusTracker(), f"group-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(tracker.getJobIdsForGroup(group))
+
+
+def test_an_outlier_in_time_changes_neither_result_nor_jobs(spark):
+    rows = [("k", s, s) for s in range(0, 500_000, 977)]
+    far = [("k", -60_000_000_000, -1), ("k", 200_000_000_000, -2)]
+
+    def run(rows):
+        return jobs_of(spark, lambda: {r["ident"] for r in events.accepted_arrivals(arrivals(spark, rows), "key", "ts", ["ident"], 7200).collect()})
+
+    plain, jobs = run(rows)
+    with_far, more_jobs = run(rows + far)
+    assert with_far == plain | {-1, -2} == brute_force(rows + far, 7200)
+    assert abs(more_jobs - jobs) <= 1
+
+
+def test_arrivals_without_key_or_time(spark):
+    df = spark.createDataFrame([("k", 5, 1), ("k", None, 2), (None, 5, 3)], "key string, s bigint, ident bigint").select(
+        "key", F.timestamp_seconds("s").alias("ts"), "ident")
+    marked = events.dedup_ttl(df, "key", "ts", ["ident"])
+    assert {r["ident"]: r["is_accepted"] for r in marked.collect()} == {1: True, 2: False, 3: False}
+
+
 def test_routing_order(spark):
     rows = [("b", "orders/a.csv", 0, 0), ("b", "orders/a.csv", 5, 1), ("x", "orders/a.csv", 1, 2),
             ("b", "orders/b.csv", 9, 3)]

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,6 @@ from orderflow.operators.quality import GateFailed
 from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
 from orderflow.schemas import RAW_LANDING
 from orderflow.sources import target
-from orderflow.streaming import arrivals as arrivals_module
 from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream
 from orderflow.streaming.ingest import batch_context, run_incremental
 from orders import CTX, raw
@@ -167,18 +167,70 @@ def test_locks_outlive_a_restart(spark, tmp_path):
     assert read_routed(spark, out).count() == 8
 
 
-def test_locks_end_by_the_watermark_when_the_table_is_written(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(arrivals_module, "_FULL_EVERY", 2)
+def routed_in_turn(spark, tmp_path, *deliveries, **more):
+    """Seconds delivered one after the other to restarted streams; the queries, and the status of each second."""
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     schema = "event_id bigint, record_no int, ts timestamp, bucket string, key string, partition_date string"
-    for second in (1000, 2_000_000, 2_000_500, 1010, 2_100_000, 1020):
-        spark.createDataFrame([(second, 0, "b", "orders/k.csv" if second < 5000 else f"orders/{second}.csv", "x")],
+    queries = []
+    for rows in deliveries:
+        spark.createDataFrame([(s, 0, "b", key, "x") for s, key in rows],
                               "event_id bigint, record_no int, bucket string, key string, partition_date string"
                               ).withColumn("ts", F.timestamp_seconds("event_id")).write.mode("append").parquet(source)
-        route_stream(spark.readStream.schema(schema).parquet(source), out, checkpoint, "b", ["orders/"], delay_seconds=100_000)
-    status = {r["event_id"]: r["status"] for r in read_routed(spark, out).collect()}
-    # 1000's lock is in the table of micro-batch 1, whose watermark is still that of micro-batch 0, and not in that of 3
-    assert status == {1000: "accepted", 2_000_000: "accepted", 2_000_500: "accepted", 1010: "duplicate", 2_100_000: "accepted", 1020: "accepted"}
+        queries.append(route_stream(spark.readStream.schema(schema).parquet(source), out, checkpoint, "b", ["orders/"], **more))
+    return queries, {r["event_id"]: r["status"] for r in read_routed(spark, out).collect()}
+
+
+def test_locks_end_by_the_watermark(spark, tmp_path):
+    many = [(1000 + i, f"orders/{i}.csv") for i in range(30)]
+    queries, status = routed_in_turn(
+        spark, tmp_path, many, [(200_000, "orders/far.csv")], [(1010, "orders/0.csv")], delay_seconds=100_000)
+    # the watermark of 100,000 is past the end of the first locks; the one left is that of the newest arrival
+    rows = [q.lastProgress["stateOperators"][0]["numRowsTotal"] for q in queries]
+    assert rows[0] >= 30 and rows[1] < 5
+    assert status[1010] == "accepted" and status[1000] == "accepted"
+
+
+def test_arrivals_from_the_future_end_no_lock(spark, tmp_path):
+    _, status = routed_in_turn(
+        spark, tmp_path, [(1_700_000_000, "orders/a.csv")], [(250_000_000_000, "orders/far.csv")], [(1_700_000_010, "orders/a.csv")],
+        delay_seconds=400 * 366 * 86400)
+    assert status == {1_700_000_000: "accepted", 250_000_000_000: "accepted", 1_700_000_010: "duplicate"}
+
+
+def test_a_busy_key_in_pieces(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    seconds = [rng.randrange(400_000) for _ in range(6000)]
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    frame = spark.createDataFrame([(i, None if i % 50 == 0 else 0, s) for i, s in enumerate(seconds)], "event_id bigint, record_no int, s bigint")
+    frame = frame.select("event_id", "record_no", F.timestamp_seconds("s").alias("ts"), F.lit("b").alias("bucket"), F.lit("orders/k.csv").alias("key"),
+                         F.lit(None).cast("string").alias("partition_date"), (F.col("s") / 7).alias("more"))
+    frame.write.parquet(source)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        route_stream(spark.readStream.schema(frame.schema).parquet(source), out, checkpoint, "b", ["orders/"], ttl_seconds=3600)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    last, want = None, set()
+    for s, no, i in sorted((s, -1 if i % 50 == 0 else 0, i) for i, s in enumerate(seconds)):
+        if last is None or s >= last + 3600:
+            last = s
+            want.add(i)
+    assert {r["event_id"] for r in read_routed(spark, out, ACCEPTED).collect()} == want
+    back = read_routed(spark, out).select(*frame.columns)
+    assert back.count() == 6000 and back.exceptAll(frame).isEmpty() and back.schema.simpleString() == frame.schema.simpleString()
+
+
+def test_arrivals_without_time_and_each_status_in_its_folder(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    rows = [(1, 5, "b", "orders/k.csv"), (2, None, "b", "orders/k.csv"), (3, 7, "b", "orders/k.csv"), (4, 8, "other", "orders/k.csv")]
+    frame = spark.createDataFrame(rows, "event_id bigint, s bigint, bucket string, key string").select(
+        "event_id", F.timestamp_seconds("s").alias("ts"), "bucket", "key")
+    frame.write.parquet(source)
+    route_stream(spark.readStream.schema(frame.schema).parquet(source), out, checkpoint, "b", ["orders/"], ident=["event_id"])
+    for status, want in (("accepted", {1}), ("duplicate", {2, 3}), ("skipped", {4})):
+        assert {r["event_id"] for r in read_routed(spark, out, status).collect()} == want
+        assert {r["event_id"] for r in spark.read.parquet(f"{out}/routed/status={status}").collect()} == want
 
 
 def test_every_alert_window_is_there_at_once(spark, tmp_path):
