@@ -20,7 +20,7 @@ from orderflow.llm.text import blobs, texts
 from orderflow.sources.workdir import discard, fresh_dir, stored
 
 # Bytes of a seed; a window's seed is its substring of this length with the least hash.
-SEED = 16
+SEED = 24
 _PIECE, _SLICE = 1 << 19, 1 << 18
 # Distinct cells of one seed that a task takes together; windows of seeds with more are dealt by their content.
 MOST_CELLS = 4096
@@ -434,7 +434,7 @@ def removed(docs: DataFrame, length: int = 50) -> DataFrame:
     texts shorter than ``length`` stay whole; an empty table gives no rows. Columns of the four names are replaced.
 
     1. Exact copies need no search: the first of each text (and its repetitions) goes on, a later copy loses all.
-    2. Every window has a seed, its 16-byte substring of least hash; runs of windows with one seed are cells. Seeds
+    2. Every window has a seed, its 24-byte substring of least hash; runs of windows with one seed are cells. Seeds
        found in one document only are left out.
     3. The other cells are told apart by hash. A seed with one distinct cell is settled by the least id that has it. The
        bytes of others meet by seed: suffix arrays put equal windows together, and each class gets its least id.
