@@ -228,9 +228,6 @@ AUDIT = T.StructType([
 
 # What a commit does to the list of current folders: "keep" and "add" name one, "remove" takes one off, "commit" is the
 # commit itself.
-COMMIT = _struct([
-    ("commit_no", "bigint"), ("run_id", "string"), ("committed_at", "timestamp"), ("action", "string"),
-    ("order_year", "int"), ("order_month", "int"), ("path", "string")])
 MANIFEST_ENTRY = _struct([("url", "string"), ("mandatory", "boolean"), ("length", "bigint")])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -71,20 +72,72 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in _filesystem(spark, path).listStatus(_path(spark, path))]
 
 
-def claim(spark: SparkSession, path: str, owner: str) -> bool:
-    """Whether ``owner`` has the name ``path``: the first to create the file does, and keeps it when asking again."""
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it is not there."""
+    if not exists(spark, path):
+        return None
+    stream = _filesystem(spark, path).open(_path(spark, path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _beside(spark: SparkSession, path: str, text: str):
+    """A file with the text next to ``path``, under a name that nothing else uses."""
+    place = _path(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.tmp")
+    out = _filesystem(spark, path).create(place, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return place
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Whether ``path`` came into being with this text, at once and whole; False if it was there already.
+
+    The text is written under another name, which then becomes ``path`` unless that exists: a hard link on local disks, a rename that
+    does not overwrite elsewhere. It is as exclusive as the store's rename; on object stores run one writer at a time.
+    """
     files, place = _filesystem(spark, path), _path(spark, path)
+    if files.getUri().getScheme() == "file":
+        name = place.toUri().getPath()
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        written = f"{os.path.dirname(name)}/.{uuid.uuid4().hex}.tmp"
+        try:
+            with open(written, "x", encoding="utf-8") as out:
+                out.write(text)
+                out.flush()
+                os.fsync(out.fileno())
+            os.link(written, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(written)
+        return True
+    written = _beside(spark, path, text)
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
     try:
-        out = files.create(place, False)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(written, place, options)
     except Py4JJavaError:
         if not files.exists(place):
             raise
-        return [r["value"] for r in spark.read.text(path).collect()] == [owner]
-    out.write(bytearray(owner.encode()))
-    out.close()
+        files.delete(written, False)
+        return False
     return True
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file's text set anew; for hints, since a reader may find none for a moment."""
+    files, place = _filesystem(spark, path), _path(spark, path)
+    written = _beside(spark, path, text)
+    files.delete(place, False)
+    if not files.rename(written, place):
+        files.delete(written, False)
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
