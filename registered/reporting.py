@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from orderflow.operators import dims, upsert
 from orderflow.operators.conform import conform, line_key, violation_counts
-from orderflow.plans import reports
+from orderflow.plans import reports, states
 from orderflow.schemas import FACT
+from orderflow.sources.workdir import fresh_dir, stored
 from registered import query
 from registered.sample import (
     AS_OF,
@@ -107,6 +108,55 @@ def agg_late_pct(spark, sf_dir):
     return _lines(spark, sf_dir).groupBy("country", "order_year").agg(reports.late_pct().alias("late_pct"))
 
 
+def _states(spark, rows):
+    """Monthly states of stored rows, and the rows."""
+    rows, root = stored(rows, "fact"), fresh_dir(spark, "states")
+    states.write_states(rows, root)
+    return rows, root
+
+
+@query(with_(CLEAN_SQL, SUMMARY_SQL.format(source="clean")))
+def summary_90d_states(spark, sf_dir):
+    """The summary from stored monthly states; rows are read of one month only."""
+    rows, root = _states(spark, clean_orders(spark, sf_dir))
+    return states.summary_from_states(spark, root, rows, AS_OF)
+
+
+@query(with_(ENRICHED_SQL, SUMMARY_SQL.format(source="enriched")))
+def summary_90d_lines_states(spark, sf_dir):
+    """At order-line grain, where both counts are unions of sets."""
+    rows, root = _states(spark, _lines(spark, sf_dir))
+    return states.summary_from_states(spark, root, rows, AS_OF)
+
+
+_DISTINCT_BY = ["order_year", "order_quarter", "region"]
+
+
+@query(with_(ENRICHED_SQL, f"""select {', '.join(_DISTINCT_BY)}, count(distinct order_id) as order_count,
+    count(distinct customer_id) as customer_count, cast(sum(quantity) as bigint) as total_units
+    from enriched where order_date is not null group by all"""))
+def rollup_distinct_states(spark, sf_dir):
+    """Distinct orders and customers by quarter, from the sets of its months."""
+    rows, root = _states(spark, _lines(spark, sf_dir))
+    found = states.rollup(spark, root, _DISTINCT_BY)
+    return found.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in _DISTINCT_BY], "order_count", "customer_count", "total_units")
+
+
+@query(with_(ENRICHED_SQL, """select order_year, true as orders_within_5_pct, true as customers_within_5_pct
+    from enriched where order_date is not null group by all"""))
+def rollup_distinct_sketches(spark, sf_dir):
+    """Yearly distinct counts from merged sketches, held against the exact ones from merged sets."""
+    rows, root = _states(spark, _lines(spark, sf_dir))
+    near = states.approximate_counts(spark, root, ["order_year"]).withColumnsRenamed({"order_count": "orders", "customer_count": "customers"})
+    both = near.join(states.rollup(spark, root, ["order_year"]), "order_year")
+
+    def within(a, b):
+        return F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b)
+    return both.select(
+        F.col("order_year").cast(rows.schema["order_year"].dataType).alias("order_year"),
+        within("orders", "order_count").alias("orders_within_5_pct"), within("customers", "customer_count").alias("customers_within_5_pct"))
+
+
 # ------------------------------------------------------------------ conform and dimensions
 
 _FACT = [c for c in FACT.names if c not in ("_source_file", "_processed_at")]
