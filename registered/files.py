@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from orderflow.context import PipelineConfig, RunContext
 from orderflow.functions import partition_date
+from orderflow.operators import dims
 from orderflow.operators.conform import conform
 from orderflow.plans import reports
 from orderflow.plans.batch import run_batch
 from orderflow.schemas import AUDIT, CLEAN, LANDING_PARTITIONS, RAW_COLUMNS
-from orderflow.sources import manifest, readers, target, writers
+from orderflow.sources import layouts, manifest, readers, target, writers
 from orderflow.sources.workdir import fresh_dir
 from registered import query
 from registered.reporting import FACT_MEASURES, SUMMARY_SQL
@@ -22,9 +23,13 @@ from registered.sample import (
     CLEAN_SQL,
     CTX,
     CTX2,
+    DIM_CUSTOMER_SQL,
+    DIM_PRODUCT_SQL,
     RAW_SQL,
     WAVES_SQL,
     clean_orders,
+    dim_customer,
+    dim_product,
     raw_lines,
     raw_orders,
     wave_orders,
@@ -220,6 +225,41 @@ def layout_sorted_scan(spark, sf_dir):
         & (F.col("product_category") == "ECONOMY")).select(*_PUBLISHED[:-1])
 
 
+@query(with_(f"{CLEAN_SQL}, {DIM_CUSTOMER_SQL}", """select c.order_id, c.customer_id, c.net_revenue, d.customer_sk, d.customer_segment
+    from clean c join dim_customer d on d.customer_id = c.customer_id and d.is_current"""))
+def layout_key_join(spark, sf_dir):
+    """Fact and customers in buckets of the customer: the join moves no row of either."""
+    fact = layouts.keyed(clean_orders(spark, sf_dir).select("order_id", "customer_id", "net_revenue"), "customer_id", 8)
+    current = dims.current_customers(dim_customer(spark, sf_dir)).select("customer_id", "customer_sk", "customer_segment")
+    return fact.join(layouts.keyed(current, "customer_id", 8), "customer_id").select(
+        "order_id", "customer_id", "net_revenue", "customer_sk", "customer_segment")
+
+
+@query(with_(f"{CLEAN_SQL}, {DIM_PRODUCT_SQL}", """select c.order_id, c.product_id, c.quantity, p.product_sk, p.product_name as listed_name
+    from clean c left join dim_product p using (product_id)"""))
+def layout_all_join(spark, sf_dir):
+    """Fact spread evenly, products on every executor: the fact's rows stay where they are."""
+    path = writers.write_evenly(clean_orders(spark, sf_dir).select("order_id", "product_id", "quantity"), fresh_dir(spark, "even"))
+    products = dim_product(spark, sf_dir).select("product_id", "product_sk", F.col("product_name").alias("listed_name"))
+    return spark.read.parquet(path).join(layouts.replicated(products), "product_id", "left").select(
+        "order_id", "product_id", "quantity", "product_sk", "listed_name")
+
+
+@query(with_(f"{CLEAN_SQL}, {DIM_CUSTOMER_SQL}, {DIM_PRODUCT_SQL}", """select d.customer_segment, p.product_name as listed_name,
+    count(*) as order_count, cast(sum(c.net_revenue) as decimal(24,2)) as total_net_revenue
+    from clean c join dim_customer d on d.customer_id = c.customer_id and d.is_current
+    join dim_product p on p.product_id = c.product_id where p.product_sk <= 20 group by all"""))
+def statistics_join(spark, sf_dir):
+    """A star join over analysed tables, written customers first: the plan takes the few products first."""
+    fact = layouts.analysed(clean_orders(spark, sf_dir).select("customer_id", "product_id", "net_revenue"), ["customer_id", "product_id"])
+    customers = layouts.analysed(dims.current_customers(dim_customer(spark, sf_dir)).select("customer_id", "customer_segment"), ["customer_id"])
+    products = layouts.analysed(dim_product(spark, sf_dir).select(
+        "product_id", "product_sk", F.col("product_name").alias("listed_name")), ["product_id", "product_sk"])
+    return fact.join(customers, "customer_id").join(products.filter("product_sk <= 20"), "product_id").groupBy(
+        "customer_segment", "listed_name").agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("net_revenue").cast("decimal(24,2)").alias("total_net_revenue"))
+
+
 @query(with_(f"""{CLEAN_SQL}, loadable as (select * from clean
     where order_date is not null and order_status is not null)""", """select cast(1 as bigint) as audit_id,
     'sample' as job_name, 'fact_orders' as target_table, (select count(*) from raw_lines) as rows_read,
