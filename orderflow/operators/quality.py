@@ -119,10 +119,24 @@ def gate(tagged: DataFrame, max_reject_pct: float = DEFAULT_MAX_REJECT_PCT) -> G
     """
     counts = {r[FAILURE]: r["n"] for r in
               tagged.groupBy(FAILURE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    result = GateCounts(sum(counts.values()), {k: n for k, n in counts.items() if k is not None})
-    if result.reject_pct > max_reject_pct:
+    return passed(GateCounts(sum(counts.values()), {k: n for k, n in counts.items() if k is not None}), max_reject_pct)
+
+
+def passed(counts: GateCounts, max_reject_pct: float = DEFAULT_MAX_REJECT_PCT) -> GateCounts:
+    """The counts, unless they are over the threshold: then an error that has them."""
+    if counts.reject_pct > max_reject_pct:
         raise GateFailed(
-            f"{result.rejected} of {result.total} rows rejected "
-            f"({result.reject_pct:.2f} %), limit {max_reject_pct} %", result
+            f"{counts.rejected} of {counts.total} rows rejected "
+            f"({counts.reject_pct:.2f} %), limit {max_reject_pct} %", counts
         )
-    return result
+    return counts
+
+
+def counts_by(reasons: Sequence[str]) -> list[Column]:
+    """Metrics of a tagged frame that a write of it can count on the way: rows, and rows by reason."""
+    return [F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(FAILURE) == r).alias(f"reason_{i}") for i, r in enumerate(reasons)]]
+
+
+def observed_counts(metrics: dict, reasons: Sequence[str]) -> GateCounts:
+    by_reason = {r: metrics[f"reason_{i}"] for i, r in enumerate(reasons)}
+    return GateCounts(metrics["total"], {r: n for r, n in by_reason.items() if n})

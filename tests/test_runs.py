@@ -3,13 +3,16 @@ import os
 import random
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.context import PipelineConfig, RunContext
+from orderflow.operators import quality
 from orderflow.operators.events import ACCEPTED
 from orderflow.operators.quality import GateFailed
+from orderflow.plans import batch as batch_plan
 from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
-from orderflow.schemas import RAW_LANDING
+from orderflow.schemas import FACT, RAW_LANDING, max_length
 from orderflow.sources import target
 from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream
 from orderflow.streaming.ingest import batch_context, run_incremental
@@ -75,6 +78,46 @@ def test_a_day_without_files_is_a_successful_no_op(spark, tmp_path):
     assert (result.status, result.rows_read, result.rows_inserted) == ("SUCCESS", 0, 0)
 
 
+def test_a_killed_run_stays_visible(spark, tmp_path, monkeypatch):
+    cfg = config(tmp_path, partition_date=dt.date(2024, 1, 10))
+    deliver(spark, cfg.source_root, 0)
+
+    def killed(*args, **kw):
+        assert [(r["audit_id"], r["status"]) for r in batch_plan.audit_log(spark, cfg).collect()] == [(1, "RUNNING")]
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batch_plan, "load_batch", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run_batch(spark, cfg, CTX)
+    run_batch(spark, cfg, RunContext("again", CTX.run_ts, CTX.as_of, "unit"))
+    log = {r["audit_id"]: (r["run_id"], r["status"], r["partition_date"]) for r in batch_plan.audit_log(spark, cfg).collect()}
+    assert log == {1: (CTX.run_id, "RUNNING", dt.date(2024, 1, 10)), 2: ("again", "SUCCESS", dt.date(2024, 1, 10))}
+
+
+def test_ids_that_become_one_stop_the_load(spark, tmp_path):
+    cfg = config(tmp_path)
+    long = "O" * (max_length(FACT["order_id"]) - 1)
+    raw(spark, {"order_id": long + "12"}, {"order_id": long + "1"}, {"order_id": "short"}).write.parquet(f"{cfg.source_root}/year=2024/month=01/day=01")
+    with pytest.raises(LoadMismatch, match="3 rows but 2 order ids"):
+        run_batch(spark, cfg, CTX)
+    assert published(spark, cfg) == {}
+
+
+def test_a_load_scans_its_input_once(spark, tmp_path):
+    """The gate, the staged and the contract counts come from the writes: no job of the load only counts its stored rows."""
+    cfg = config(tmp_path)
+    deliver(spark, cfg.source_root, 0)
+    counted = []
+    real = DataFrame.count
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrame, "count", lambda df: counted.append(df) or real(df))
+        patch.setattr(quality, "gate", None)
+        result = run_batch(spark, cfg, CTX)
+    # the one count left is that of a batch which replaces nothing
+    assert len(counted) <= 1 and (result.rows_read, result.rows_rejected, result.rows_inserted) == (30, 2, 28)
+
+
 def test_load_check_raises_on_a_difference(spark, tmp_path):
     cfg = config(tmp_path)
     deliver(spark, cfg.source_root, 0)
