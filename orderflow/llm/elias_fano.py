@@ -87,16 +87,26 @@ class EliasFano:
         return np.where(part <= 0, 0, np.minimum(bit - rank, self.n))
 
     def _run(self, bit: np.ndarray) -> np.ndarray:
-        """How many ones of the high bits follow each other from a position on."""
+        """How many ones of the high bits follow each other from a position on.
+
+        Most runs end in their word. One that reaches the word's end goes on to the next zero, which is found by its rank.
+        """
         word, shift = bit >> 6, (bit & 63).astype(np.uint64)
         gap = ~(self.high[word] >> shift)
         run = np.bitwise_count((gap & (~gap + _ONE)) - _ONE).astype(np.int64)
-        # shifted-in zeros end a run at the word's end: go on in the next word
         over = np.flatnonzero((run == 64 - (bit & 63)) & (word + 1 < len(self.high)))
         if len(over):
-            run[over] += self._run((word[over] + 1) << 6)
+            after = word[over] + 1
+            run[over] = self._zero(after * 64 - self.ones[after]) - bit[over]
         return run
 
+    def _zero(self, rank: np.ndarray) -> np.ndarray:
+        """Where the zero is that has so many zeros before it."""
+        if self._zeros is None:
+            self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+        word = np.searchsorted(self._zeros, rank, "right") - 1
+        return word * 64 + _select_in_word(~self.high[word], rank - self._zeros[word])
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """Position of each value, or -1: the successor of equal value in the run of its high part."""
         values = values.astype(np.uint64)

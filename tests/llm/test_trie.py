@@ -31,6 +31,17 @@ def test_elias_fano_of_repeated_values():
     assert EliasFano.coded(np.array(values, np.uint64)).access(np.arange(len(values))).tolist() == values
 
 
+def test_a_run_of_a_million():
+    """Dense values, then far ones that make the low parts wide: one high part holds them all."""
+    values = np.concatenate([np.arange(0, 2_000_000, 2), 10**12 + np.arange(0, 10**9, 10**7)]).astype(np.uint64)
+    coded = EliasFano.coded(values)
+    some = np.arange(0, len(values), 997)
+    assert (coded.find(values[some]) == some).all() and (coded.find(values[some] + np.uint64(1)) == -1).all()
+    near = np.concatenate([np.arange(100_000), 300_000 + 70_000 * np.arange(20_000)]).astype(np.uint64)
+    coded = EliasFano.coded(near)
+    assert (coded.find(near) == np.arange(len(near))).all()
+
+
 def texts(seed, n=140):
     rng = random.Random(seed)
     words = ["The", "a", "é", "x", "cat", "Ring", "of", "fire", "\\n"]
