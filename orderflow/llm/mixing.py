@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from orderflow.llm.text import texts
 from orderflow.sources.workdir import stored
@@ -71,18 +72,20 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size, ``skey`` (the source without null) and ``chunk``; ``keep`` may name the text."""
+    """doc_id, source, size, text_hash, ``skey`` (the source without null) and ``chunk``; ``keep`` may name the text."""
 
     def count(batches):
         for batch in batches:
-            sizes = pa.array([len(t.split()) for t in texts(batch.column("text"))], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), sizes, *(batch.column(c) for c in keep)],
-                                             ["doc_id", "source", "size", *keep])
+            bodies = texts(batch.column("text"))
+            sizes = pa.array([len(t.split()) for t in bodies], pa.int64())
+            digests = pa.array(np.array([xxh64_intdigest(t) for t in bodies], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), sizes, digests, *(batch.column(c) for c in keep)],
+                                             ["doc_id", "source", "size", "text_hash", *keep])
 
-    schema = "doc_id long, source string, size long" + "".join(f", {c} string" for c in keep)
+    schema = "doc_id long, source string, size long, text_hash long" + "".join(f", {c} string" for c in keep)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").mapInArrow(count, schema)
     key = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source"))
-    return rows.withColumn("skey", key).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(CHUNKS)).cast("int"))
+    return rows.withColumn("skey", key).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(CHUNKS)).cast("int"))
 
 
 def chunk_bases(rows: DataFrame) -> DataFrame:
@@ -93,10 +96,13 @@ def chunk_bases(rows: DataFrame) -> DataFrame:
 
 
 def offsets(rows: DataFrame, bases: DataFrame) -> DataFrame:
-    """Adds ``start``, the words of the same source before a row. Rows with words have distinct starts within a source."""
-    order = Window.partitionBy("skey", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    """Adds ``start``, the words of the same source before a row. Rows with words have distinct starts within a source.
+
+    Rows of one id go by their texts' hash, so that whoever computes the starts anew gets the same; rows that share both have one text.
+    """
+    order = Window.partitionBy("skey", "chunk").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    return inside.join(bases, ["skey", "chunk"]).withColumn("start", F.col("start") + F.col("base")).drop("base", "chunk")
+    return inside.join(bases, ["skey", "chunk"]).withColumn("start", F.col("start") + F.col("base")).drop("base", "chunk", "text_hash")
 
 
 def pieces(packed: DataFrame, block_words: int) -> DataFrame:
@@ -157,7 +163,7 @@ def slots(spark, per: pd.DataFrame, block_words: int, shard_blocks: int, seed: i
                                         "skey": np.array(keys, object)[source], "block": block, "epoch": epoch})
 
     made = spark.createDataFrame(rows, "g int, size long, counts array<long>, firsts array<long>")
-    return made.repartition(max(1, min(len(rows), 64)), "g").mapInPandas(fill, "shard long, slot long, skey string, block long, epoch long")
+    return made.repartition(max(1, len(rows)), "g").mapInPandas(fill, "shard long, slot long, skey string, block long, epoch long")
 
 
 @dataclass(frozen=True)
