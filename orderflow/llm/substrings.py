@@ -459,7 +459,9 @@ def removed(docs: DataFrame, length: int = 50) -> DataFrame:
     name = f"texts_{uuid.uuid4().hex}"
     with _cleaned(spark):
         placed.repartition(buckets, "home").write.option("path", fresh_dir(spark, "texts")).bucketBy(buckets, "home").saveAsTable(name)
+    # its files are in the shared folder, and the frame knows their buckets: the catalog can forget it
     placed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
 
     def at_home(texts_: list[str], found: DataFrame, run, schema: str | T.StructType) -> DataFrame:
         """``run`` over each home's documents and what was found about them."""
