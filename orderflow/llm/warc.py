@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import struct
 import uuid
@@ -89,12 +90,12 @@ def one_line(value) -> str:
     return " ".join(str(value).splitlines())
 
 
-def record(kind: str, record_id: str, uri: str | None, payload: bytes, digest: str, n_bytes: int, refers_to: str | None) -> bytes:
-    """A WARC record. A revisit has the HTTP headers of its response, Content-Length included, but not the payload."""
+def record(kind: str, record_id: str, uri: str | None, payload: bytes, digest: str, n_bytes: int, refers_to: str | None, date: str) -> bytes:
+    """A WARC record, dated in UTC to the second. A revisit has the HTTP headers of its response, Content-Length included, but not the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = http + (payload if kind == "response" else b"")
     base32 = base64.b32encode(bytes.fromhex(digest)).decode()
-    headers = [f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", f"WARC-Payload-Digest: sha1:{base32}",
+    headers = [f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{base32}",
                "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if uri is not None:
         headers.append(f"WARC-Target-URI: {one_line(uri)}")
@@ -123,25 +124,28 @@ def page_of(identifier: str) -> int | None:
 def with_revisits(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     """page_id, url, html, digest, n_bytes, refers_to. refers_to is null for responses.
 
-    Digests are aggregated before the join, so a payload that a third of all pages have is one row on one side of
+    Payloads are equal if their SHA-256 is; the digest of the records is the SHA-1 that archives use. Digests are aggregated before the join, so a payload that a third of all pages have is one row on one side of
     it, and adaptive execution may split the other.
     """
     body = F.coalesce("html", F.lit("")).cast("binary")
-    hashed = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n_bytes"))
-    first = (hashed.where(F.col("n_bytes") >= least_bytes).groupBy("digest", "n_bytes")
+    hashed = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), F.sha2(body, 256).alias("same"), F.octet_length(body).cast("long").alias("n_bytes"))
+    first = (hashed.where(F.col("n_bytes") >= least_bytes).groupBy("same")
              .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return hashed.join(first, ["digest", "n_bytes"], "left").select(
+    return hashed.join(first, "same", "left").select(
         "page_id", "url", "html", "digest", "n_bytes", F.when(other, F.col("first")).alias("refers_to"))
 
 
-def write(pages: DataFrame, root: str, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 26) -> DataFrame:
+def write(pages: DataFrame, root: str, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 26, date: dt.datetime | None = None) -> DataFrame:
     """Writes every page as a record below ``root`` and returns the stored index, a row per record.
 
+    All records have one date, by default that of this call.
     A task writes its own bundles under names with its attempt, and its index rows reach the index table only if it
     ends well: what a lost or repeated task left is never read.
     """
 
+    stamp = (date or dt.datetime.now(dt.timezone.utc)).astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def run(batches) -> Iterator[pa.RecordBatch]:
         bundle, name = None, f"{root}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}"
         part = 0
@@ -152,7 +156,7 @@ def write(pages: DataFrame, root: str, frame_bytes: int = 1 << 18, bundle_bytes:
                 if bundle is None:
                     bundle, part = Bundle(f"{name}-{part}.warc.zst", frame_bytes), part + 1
                 kind = "response" if first is None else "revisit"
-                raw = record(kind, record_id(page), url, html, digest, size, None if first is None else record_id(first))
+                raw = record(kind, record_id(page), url, html, digest, size, None if first is None else record_id(first), stamp)
                 rows.append((record_id(page), page, bundle.path, *bundle.add(raw), len(raw)))
                 if bundle.written >= bundle_bytes:
                     bundle.close()

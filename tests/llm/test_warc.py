@@ -52,3 +52,17 @@ def test_random_access_over_frames_and_bundles(spark):
 
 def test_no_pages(spark):
     assert warc.read(warc.archive(pages(spark, []))).count() == 0
+
+
+def test_records_have_what_the_standard_asks_for(spark):
+    import datetime as dt
+
+    from orderflow.sources.workdir import fresh_dir
+
+    when = dt.datetime(2024, 2, 3, 4, 5, 6, tzinfo=dt.timezone(dt.timedelta(hours=1)))
+    index = warc.write(warc.with_revisits(pages(spark, rows_())), fresh_dir(spark, "warc"), date=when)
+    for r in index.collect():
+        raw = warc.Reader(r.bundle).record(r.frame, r.start, r.n_bytes)
+        headers, _, _ = warc.parsed(raw)
+        assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n")
+        assert {"WARC-Record-ID", "WARC-Date", "WARC-Type", "Content-Length"} <= set(headers) and headers["WARC-Date"] == "2024-02-03T03:05:06Z"
