@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from orderflow.llm.text import shingle_slices, texts
+from orderflow.llm.text import shingle_slices, texts, words
 
 # Bytes of item texts that a task holds at a time; more items go in further blocks, each over all documents.
 BLOCK_BYTES = 16 << 20
@@ -59,20 +59,31 @@ def extra_bits(n_item: int, threshold: float, miss: float) -> int:
 
 
 class ItemIndex:
-    """Signatures of items, by partition of the documents and number of bins, made as documents need them."""
+    """Signatures of items, by partition of the documents and number of bins, made as documents need them.
 
-    def __init__(self, ids: list, bodies: list[bytes], k: int, threshold: float, miss: float):
+    An item of fewer than k words is one shingle of as many words as it has; such items are looked up among the documents'
+    shingles of that length, for lengths that occur.
+    """
+
+    def __init__(self, ids: list, bodies: list[bytes], times: list[int], k: int, threshold: float, miss: float):
         self.k, self.threshold = k, threshold
-        self.ids, self.shingles, self.hashes = [], [], []
+        self.ids, self.times, self.shingles, self.hashes = [], [], [], []
         self.groups: dict[int, list[int]] = {}
+        self.short: dict[int, dict[bytes, list[int]]] = {}
         self.made: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for item, text in zip(ids, bodies):
+        for item, text, n in zip(ids, bodies, times):
             own = shingles(text, k)
-            if own:
-                self.groups.setdefault(extra_bits(len(own), threshold, miss), []).append(len(self.ids))
-                self.ids.append(item)
-                self.shingles.append(own)
-                self.hashes.append(hashed(text, k))
+            if not own:
+                continue
+            at, n_words = len(self.ids), len(words(text))
+            if n_words < k:
+                self.short.setdefault(n_words, {}).setdefault(next(iter(own)), []).append(at)
+            else:
+                self.groups.setdefault(extra_bits(len(own), threshold, miss), []).append(at)
+            self.ids.append(item)
+            self.times.append(n)
+            self.shingles.append(own)
+            self.hashes.append(hashed(text, k))
 
     def _entries(self, size: int, extra: int) -> tuple[np.ndarray, np.ndarray]:
         if (size, extra) not in self.made:
@@ -95,11 +106,10 @@ class ItemIndex:
 
     def matches(self, text: bytes) -> list[tuple[int, int, int]]:
         """(item, shared, of) of the items whose distinct shingles are in a text to the threshold, compared as words."""
+        found = [(i, 1, 1) for n, items in self.short.items() for one in items.keys() & shingles(text, n) for i in items[one]]
         hashes = hashed(text, self.k)
         items = self.candidates(hashes) if len(hashes) else []
-        if not items:
-            return []
-        own, found = shingles(text, self.k), []
+        own = shingles(text, self.k) if items else set()
         for i in items:
             shared = len(self.shingles[i] & own)
             if shared >= self.threshold * len(self.shingles[i]) - 1e-9:
@@ -107,35 +117,38 @@ class ItemIndex:
         return found
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
-    """Items in blocks by hash of their row, each of about ``block_bytes``: what the driver and a task hold at once."""
+def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes], list[int]]]:
+    """Items in blocks by hash of their row, each of about ``block_bytes``: what the driver and a task hold at once. Equal
+    items are one with the number of times it is there."""
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("n"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     count = -(-total // block_bytes) if total else 0
     for b in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).select("item_id", "text").toArrow()
-        yield rows.column(0).to_pylist(), [(x or "").encode() for x in rows.column(1).to_pylist()]
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).select("item_id", "text", "n").toArrow()
+        yield rows.column(0).to_pylist(), [(x or "").encode() for x in rows.column(1).to_pylist()], rows.column(2).to_pylist()
 
 
 def matches(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, miss: float = 1e-9, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) for each document that contains an item.
 
     ``docs`` has doc_id and text, ``items`` item_id and text. An item is contained if at least ``threshold`` of its
-    distinct k-word shingles (A-Z lower-cased, white space apart) are among the document's. A text of fewer than k
-    words has one shingle, all its words, so a shorter item is found only as a whole short document; null and
+    distinct k-word shingles (A-Z lower-cased, white space apart) are among the document's. An item of fewer than k
+    words is contained where its words follow each other in the document; null and
     empty texts have none and match nothing. Repeated documents and items give repeated rows; ids may be null.
     An item that is contained is missed with a probability of at most ``miss``. No items or documents: no rows.
     """
     schema = "doc_id long, item_id long, n_shared long, n_item long, containment double"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for ids, bodies in _blocks(items, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast((ids, bodies))
+    for block in _blocks(items, block_bytes):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, held=held):
             index = ItemIndex(*held.value, k, threshold, miss)
             for batch in batches:
                 out = [(doc, index.ids[i], shared, of, shared / of)
-                       for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))) for i, shared, of in index.matches(text)]
+                       for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))) for i, shared, of in index.matches(text)
+                       for _ in range(index.times[i])]
                 columns = zip(*out) if out else [[]] * 5
                 types = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["doc_id", "item_id", "n_shared", "n_item", "containment"])
@@ -148,8 +161,8 @@ def matches(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.
 def decontaminated(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, miss: float = 1e-9, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that contain no item, as ``matches`` finds them, with all their columns. Nothing is shuffled."""
     at = docs.columns.index("text")
-    for ids, bodies in _blocks(items, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast((ids, bodies))
+    for block in _blocks(items, block_bytes):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, held=held):
             index = ItemIndex(*held.value, k, threshold, miss)

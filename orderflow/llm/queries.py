@@ -34,10 +34,13 @@ def query(sql: str | None = None):
     with docs as (select doc_id as id, text from documents), items as (select item_id as id, text from benchmark),
     doc_words as (select id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from docs),
     item_words as (select id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from items),
-    doc_shingles as (select distinct id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s from doc_words where len(w) > 0),
-    item_shingles as (select distinct id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s from item_words where len(w) > 0),
+    item_shingles as (select distinct id, least(len(w), 5) as k, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+                      from item_words where len(w) > 0),
+    lengths as (select distinct k from item_shingles),
+    doc_shingles as (select distinct id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s
+                     from doc_words, lengths where len(w) >= k),
     sizes as (select id, count(*) as n from item_shingles group by id),
-    shared as (select d.id as doc_id, i.id as item_id, count(*) as n from doc_shingles d join item_shingles i using (s) group by all)
+    shared as (select d.id as doc_id, i.id as item_id, count(*) as n from doc_shingles d join item_shingles i using (k, s) group by all)
     select doc_id, item_id, shared.n as n_shared, sizes.n as n_item, cast(shared.n as double) / sizes.n as containment
     from shared join sizes on sizes.id = item_id where 5 * shared.n >= 4 * sizes.n""")
 def op1_decontamination(spark, sf_dir):

@@ -6,11 +6,13 @@ ITEMS = "item_id long, text string"
 
 
 def brute(docs, items, k=5, t=0.8):
+    """An item of fewer than k words is one shingle of its own length."""
     out = []
     for d, text in docs:
-        own = c.shingles((text or "").encode(), k)
+        by_length = {n: c.shingles((text or "").encode(), n) for n in range(1, k + 1)}
         for i, item in items:
             of = c.shingles((item or "").encode(), k)
+            own = by_length[min(k, len((item or "").split()) or 1)]
             if of and 10 * len(own & of) >= 8 * len(of):
                 out.append((d, i, len(own & of), len(of), len(own & of) / len(of)))
     return sorted(out, key=str)
@@ -48,6 +50,20 @@ def test_equals_brute_force_in_one_block_and_in_many(spark, docs):
     assert found(c.matches(own, frame, block_bytes=500)) == want
 
 
+def test_short_items_inside_documents(spark, docs):
+    rows = [(1, "aa bb cc dd the Answer is\nforty two ee ff gg"), (2, "forty three two"), (3, "two"), (4, "answer is forty two")]
+    items = [(10, "the answer is forty two"), (11, "answer is forty two"), (12, "forty two"), (13, "two"), (13, "two"), (14, "forty  TWO ee")]
+    got = found(c.matches(docs(rows), spark.createDataFrame(items, ITEMS)))
+    assert got == brute(rows, items)
+    assert sorted(i for d, i, *_ in got if d == 1) == [10, 11, 12, 13, 13, 14] and sorted(i for d, i, *_ in got if d == 4) == [11, 12, 13, 13]
+
+
+def test_repeated_items_are_one_in_a_block(spark):
+    items = spark.createDataFrame([(1, "a b c d e f")] * 500 + [(2, "g h i j k l")], ITEMS)
+    blocks = list(c._blocks(items, 1000))
+    assert len(blocks) == 1 and sorted(zip(blocks[0][0], blocks[0][2])) == [(1, 500), (2, 1)]
+
+
 def test_clean_rows_stay_whole(spark, docs):
     rows, items = corpus(2)
     frame = spark.createDataFrame(items, ITEMS)
