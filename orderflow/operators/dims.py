@@ -179,6 +179,26 @@ def assign_surrogate_keys(df: DataFrame, natural_key: str, sk: str, existing: Da
 VERSION_COLUMNS = ("effective_from", "effective_to", "is_current")
 
 
+def scd2_changes(
+    current: DataFrame, incoming: DataFrame, as_of: dt.date, key: str, sk: str, attributes: Sequence[str],
+) -> DataFrame:
+    """The versions that a snapshot opens, without their surrogate keys and times, and whether each closes one (``_closes``).
+
+    Columns that the snapshot lacks come from the version that is closed. Of several snapshot rows of a key the greatest counts, compared
+    column by column. Raises when ``as_of`` lies before the start of a version to be closed.
+    """
+    snapshot = dedup_latest(incoming, [key], order_by=[])
+    named = [c for c in current.columns if c not in (sk, *VERSION_COLUMNS)]
+    before = current.select(
+        F.col(key).alias("_key"), F.col("effective_from").alias("_from"), *[F.col(c).alias(f"_old_{c}") for c in named])
+    compared = snapshot.join(before, F.col(key) == F.col("_key"), "left")
+    differs = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_old_{a}")) for a in attributes], F.lit(False))
+    changed = compared.filter(F.col("_key").isNull() | differs)
+    if changed.filter(F.col("_from") > F.lit(as_of)).take(1):
+        raise ValueError(f"a version to be closed starts after {as_of}")
+    return changed.select(*[F.col(c if c in incoming.columns else f"_old_{c}").alias(c) for c in named], F.col("_key").isNotNull().alias("_closes"))
+
+
 def scd2_merge(
     dim: DataFrame,
     incoming: DataFrame,
@@ -187,24 +207,15 @@ def scd2_merge(
     sk: str = "customer_sk",
     attributes: Sequence[str] = (),
 ) -> DataFrame:
-    """Versioned dimension after a new snapshot of the source.
+    """Versioned dimension after a new snapshot of the source, as one DataFrame; ``sources.dimension`` keeps a stored one.
 
     A current version whose attributes differ is closed on ``as_of`` and followed by a new one; unseen keys get
     their first version; keys missing from the snapshot stay as they are. A new version has the snapshot's columns,
     and those that the snapshot lacks from the version it follows. Of several snapshot rows of a key the greatest
     counts, compared column by column. Raises when ``as_of`` lies before the start of a version to be closed.
     """
-    snapshot = dedup_latest(incoming, [key], order_by=[])
-    named = [c for c in dim.columns if c not in (sk, *VERSION_COLUMNS)]
-    current = dim.filter("is_current").select(
-        F.col(key).alias("_key"), F.col("effective_from").alias("_from"), *[F.col(c).alias(f"_old_{c}") for c in named])
-    compared = snapshot.join(current, F.col(key) == F.col("_key"), "left")
-    differs = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_old_{a}")) for a in attributes], F.lit(False))
-    changed = compared.filter(F.col("_key").isNull() | differs)
-    if changed.filter(F.col("_from") > F.lit(as_of)).take(1):
-        raise ValueError(f"a version to be closed starts after {as_of}")
-    fresh = changed.select(*[F.col(c if c in incoming.columns else f"_old_{c}").alias(c) for c in named])
-    closing = changed.filter(F.col("_key").isNotNull()).select(key, F.lit(True).alias("_closes"))
+    changes = scd2_changes(dim.filter("is_current"), incoming, as_of, key, sk, attributes)
+    closing = changes.filter("_closes").select(key, "_closes")
 
     closes = F.col("is_current") & F.coalesce(F.col("_closes"), F.lit(False))
     history = dim.join(closing, key, "left").select(*[
@@ -213,7 +224,7 @@ def scd2_merge(
         else F.col(c)
         for c in dim.columns])
 
-    opened = assign_surrogate_keys(fresh, key, sk, dim)
+    opened = assign_surrogate_keys(changes.drop("_closes"), key, sk, dim)
     opened = opened.withColumns({
         "effective_from": F.lit(as_of),
         "effective_to": F.lit(OPEN_END),

@@ -8,6 +8,7 @@ from orderflow.operators import dims, upsert
 from orderflow.operators.conform import conform, line_key, violation_counts
 from orderflow.plans import reports, states
 from orderflow.schemas import FACT
+from orderflow.sources import dimension
 from orderflow.sources.workdir import fresh_dir, stored
 from registered import query
 from registered.sample import (
@@ -289,7 +290,7 @@ _DIM_COLUMNS = ["customer_sk", "customer_id", "customer_name", "customer_segment
                 "effective_from", "effective_to", "is_current"]
 
 
-@query(with_(f"""{DIM_CUSTOMER_SQL},
+_SCD2_SQL = with_(f"""{DIM_CUSTOMER_SQL},
     seen as (select * from dim_customer where cast(substr(customer_id, 6) as bigint) % 11 <> 0),
     incoming as (select concat('CUST-', cast(c_custkey as string)) as customer_id,
         {_SNAPSHOT} as customer_segment, concat(c_name, ' Ltd') as customer_name from customer),
@@ -305,8 +306,11 @@ _DIM_COLUMNS = ["customer_sk", "customer_id", "customer_name", "customer_segment
     select (select max(customer_sk) from seen)
         + row_number() over (order by substr(md5(customer_id), 1, 3), customer_id) as customer_sk,
         customer_id, customer_name, customer_segment, region, country, is_active, date '2001-08-01', date '9999-12-31',
-        true from fresh"""))
-def scd2_merge(spark, sf_dir):
+        true from fresh""")
+
+
+def _snapshot(spark, sf_dir):
+    """The dimension so far, and the new snapshot of the source."""
     dim = dim_customer(spark, sf_dir).filter("cast(substr(customer_id, 6) as bigint) % 11 <> 0").select(*_DIM_COLUMNS)
     source = customers_source(spark, sf_dir)
     incoming = source.select(
@@ -314,7 +318,24 @@ def scd2_merge(spark, sf_dir):
         F.expr(_SNAPSHOT).alias("customer_segment"), F.expr("concat(c_name, ' Ltd')").alias("customer_name"))
     # The lesser row of a pair must not count.
     twice = incoming.filter("customer_id like '%3'").withColumn("customer_segment", F.lit("!"))
-    return dims.scd2_merge(dim, incoming.unionByName(twice), AS_OF, attributes=["customer_segment"]).select(*_DIM_COLUMNS)
+    return dim, incoming.unionByName(twice)
+
+
+@query(_SCD2_SQL)
+def scd2_merge(spark, sf_dir):
+    dim, incoming = _snapshot(spark, sf_dir)
+    return dims.scd2_merge(dim, incoming, AS_OF, attributes=["customer_segment"]).select(*_DIM_COLUMNS)
+
+
+@query(_SCD2_SQL)
+def scd2_store(spark, sf_dir):
+    """The same merge on a stored dimension: current rows rewritten, closed ones appended to the history; then all of it again, to no effect."""
+    dim, incoming = _snapshot(spark, sf_dir)
+    root = fresh_dir(spark, "dim-customer")
+    dimension.create(spark, root, dim, "base")
+    for run_id in ("merge", "merge", "again"):
+        dimension.merge(spark, root, incoming, AS_OF, run_id, attributes=["customer_segment"])
+    return dimension.read(spark, root).select(*_DIM_COLUMNS)
 
 
 # ------------------------------------------------------------------ upsert and checks
