@@ -49,7 +49,7 @@ class PipelineConfig:
     summary_days: int = 90
     keys: Sequence[str] = field(default=("order_id",))
     write_rejects_on_abort: bool = False
-    multi_line: bool = True
+    multi_line: bool | None = None
     customers_path: str | None = None
     products_path: str | None = None
 
@@ -83,6 +83,7 @@ class PipelineConfig:
         p.add_argument("--keys", type=lambda text: tuple(text.split(",")), default=("order_id",))
         p.add_argument("--customers-path", help="Parquet of the customer dimension")
         p.add_argument("--products-path", help="Parquet of the product dimension")
-        p.add_argument("--single-line-csv", dest="multi_line", action="store_false")
+        p.add_argument("--single-line-csv", dest="multi_line", action="store_const", const=False, help="no CSV field holds a line break")
+        p.add_argument("--multi-line-csv", dest="multi_line", action="store_const", const=True, help="some do; otherwise files are looked through")
         p.add_argument("--write-rejects-on-abort", action="store_true")
         return cls(**vars(p.parse_args(argv)))

@@ -13,7 +13,7 @@ from orderflow.operators.conform import conform
 from orderflow.plans import reports
 from orderflow.plans.batch import run_batch
 from orderflow.schemas import AUDIT, CLEAN, LANDING_PARTITIONS, RAW_COLUMNS
-from orderflow.sources import layouts, manifest, readers, target, writers
+from orderflow.sources import layouts, manifest, readers, runlog, target, writers
 from orderflow.sources.workdir import fresh_dir
 from registered import query
 from registered.reporting import FACT_MEASURES, SUMMARY_SQL
@@ -275,3 +275,18 @@ def audit_run_row(spark, sf_dir):
     return spark.read.schema(AUDIT).parquet(cfg.audit_root).select(
         "audit_id", "job_name", "target_table", "rows_read", "rows_rejected", "rows_inserted",
         "rows_updated", "status")
+
+
+@query(with_(CLEAN_SQL, """select cast(1 as bigint) as audit_id, 'fact_orders' as target_table, cast(0 as bigint) as rows_read,
+    cast(0 as bigint) as rows_rejected, cast(0 as bigint) as rows_inserted, cast(0 as bigint) as rows_updated, 'SUCCESS' as status,
+    date '1990-01-01' as partition_date, (select count(*) from raw_lines) as rows_elsewhere, cast(0 as bigint) as rows_published"""))
+def audit_empty_run(spark, sf_dir):
+    """A run of a day for which nothing has landed, in a landing zone full of other days: a success of zeros."""
+    root = land(raw_lines(spark, sf_dir), fresh_dir(spark, "landing"))
+    cfg = PipelineConfig.under(root, fresh_dir(spark, "run"), partition_date=dt.date(1990, 1, 1))
+    run_batch(spark, cfg, CTX)
+    elsewhere = readers.read_raw(spark, root, "parquet").count()
+    published = target.read_target(spark, cfg.target_root).count()
+    return runlog.read(spark, cfg.audit_root).select(
+        "audit_id", "target_table", "rows_read", "rows_rejected", "rows_inserted", "rows_updated", "status", "partition_date",
+        F.lit(elsewhere).cast("bigint").alias("rows_elsewhere"), F.lit(published).cast("bigint").alias("rows_published"))
