@@ -156,22 +156,23 @@ class Scorer:
 _PIECE = 1 << 20
 
 
-def fit_scorer(index: list[np.ndarray], value: list[np.ndarray], target: np.ndarray, rounds: int = 150, ridge: float = 1e-4) -> Scorer:
-    """Logistic regression on soft targets by gradient steps scaled per weight."""
+def fit_scorer(index: list[np.ndarray], value: list[np.ndarray], target: np.ndarray, times: np.ndarray, rounds: int = 150, ridge: float = 1e-4) -> Scorer:
+    """Logistic regression on soft targets by gradient steps scaled per weight; ``times`` is how often each row is there."""
     weights, bias = np.zeros(_DIMENSIONS), 0.0
     if len(target):
+        part = times / times.sum()
         sizes = np.array([len(x) for x in index])
         index, value = np.concatenate(index), np.concatenate(value).astype(np.float64)
         starts = np.cumsum(sizes) - sizes
         seen, bias_seen = np.full(_DIMENSIONS, 1e-8), 1e-8
         for _ in range(rounds):
             margin = np.add.reduceat(weights[index] * value, starts) + bias
-            error = 1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target
-            slope = np.bincount(index, value * np.repeat(error, sizes), _DIMENSIONS) / len(target) + ridge * weights
+            error = part * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target)
+            slope = np.bincount(index, value * np.repeat(error, sizes), _DIMENSIONS) + ridge * weights
             seen += slope**2
-            bias_seen += error.mean() ** 2
+            bias_seen += error.sum() ** 2
             weights -= 0.3 * slope / np.sqrt(seen)
-            bias -= 0.3 * error.mean() / np.sqrt(bias_seen)
+            bias -= 0.3 * error.sum() / np.sqrt(bias_seen)
     return Scorer(weights.astype(np.float32), float(bias))
 
 
@@ -179,8 +180,8 @@ def fit(docs: DataFrame, sample_rows: int = 4000) -> tuple[LabelModel, Scorer]:
     """The label model from all rows' votes and the scorer from about ``sample_rows`` rows.
 
     Votes are counted by pattern, at most 3 to the power of the labellers, and only patterns reach the driver. The
-    scorer's rows are those with the least hashes of id and text, so the sample is the same in each run; its size
-    bounds what the driver holds.
+    scorer's rows are those with the least hashes of id and text, so the sample is the same in each run; rows equal in both
+    are one row with their number, so its size bounds what the driver holds.
     """
 
     def cast(batches):
@@ -192,23 +193,24 @@ def fit(docs: DataFrame, sample_rows: int = 4000) -> tuple[LabelModel, Scorer]:
             for i in range(0, batch.num_rows, 256):
                 rows = [(votes(shape(t)), *features(t)) for t in texts(batch.column(0).slice(i, 256))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([list(r[0]) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                     pa.array([r[2] for r in rows], pa.list_(pa.float32()))], ["votes", "index", "value"])
+                    [batch.column(1).slice(i, 256), pa.array([list(r[0]) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
+                     pa.array([r[2] for r in rows], pa.list_(pa.float32()))], ["times", "votes", "index", "value"])
 
     found = docs.select("text").mapInArrow(cast, "votes string").groupBy("votes").count().collect()
     if not found:
-        return LabelModel(0.5, np.full((13, 2), 0.5)), fit_scorer([], [], np.zeros(0))
+        return LabelModel(0.5, np.full((13, 2), 0.5)), fit_scorer([], [], np.zeros(0), np.zeros(0))
     found.sort()
     patterns = np.array([["-.+".index(c) - 1 for c in r["votes"]] for r in found])
     counts = np.array([r["count"] for r in found], float)
     labels = fit_labels(patterns, counts)
     steps = 1 << 30
     share = int(min(1.0, sample_rows / counts.sum()) * steps)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(steps)) < share).select("text")
-    rows = chosen.mapInArrow(described, "votes array<int>, index array<int>, value array<float>").toArrow().to_pydict()
+    key = F.xxhash64("doc_id", "text")
+    chosen = docs.where(F.pmod(key, F.lit(steps)) < share).groupBy(key.alias("key")).agg(F.any_value("text").alias("text"), F.count("*").alias("times"))
+    rows = chosen.select("text", "times").mapInArrow(described, "times long, votes array<int>, index array<int>, value array<float>").toArrow().to_pydict()
     target = labels.posterior(np.array(rows["votes"]).reshape(-1, patterns.shape[1]).astype(int)) if rows["votes"] else np.zeros(0)
     order = sorted(range(len(target)), key=lambda i: (rows["votes"][i], rows["index"][i]))
-    scorer = fit_scorer([np.array(rows["index"][i], np.int32) for i in order], [np.array(rows["value"][i], np.float32) for i in order], target[order])
+    scorer = fit_scorer([np.array(rows["index"][i], np.int32) for i in order], [np.array(rows["value"][i], np.float32) for i in order], target[order], np.array(rows["times"], float)[order])
     return labels, scorer
 
 

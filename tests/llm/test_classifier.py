@@ -36,6 +36,33 @@ def test_cases(spark, docs):
     assert again == {(r.doc_id, r.quality_score) for r in out.collect()}
 
 
+def test_scores_equal_a_plain_fit(spark, docs):
+    """All rows in one process: votes counted row by row, every row in the fit, scores from whole feature vectors."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["Cats", "sat,", "on", "mats.", "!!", "BUY", "x" * 30, "green"], rng.integers(0, 200)))) for i in range(120)]
+    rows += [(7, rows[7][1])] * 30 + [(None, "SALE !! " * 70)] * 40
+    bodies = [t.encode() for _, t in rows]
+    patterns, counts = np.unique([c.votes(c.shape(t)) for t in bodies], axis=0, return_counts=True)
+    labels = c.fit_labels(patterns, counts.astype(float))
+    described = [c.features(t) for t in bodies]
+    target = labels.posterior(np.array([c.votes(c.shape(t)) for t in bodies]))
+    scorer = c.fit_scorer([d[0] for d in described], [d[1] for d in described], target, np.ones(len(rows)))
+    got = {}
+    for r in c.scored(docs(rows), c.fit(docs(rows), sample_rows=10**9)[1]).collect():
+        got.setdefault((r.doc_id, r.text), set()).add(r.quality_score)
+    for (i, t), (index, value) in zip(rows, described):
+        z = scorer.bias + float((scorer.weights[index].astype(float) * value).sum())
+        assert got[i, t] and all(abs(x - 1 / (1 + np.exp(-z))) < 1e-3 for x in got[i, t])
+
+
+def test_equal_rows_reach_the_driver_once(spark, docs, monkeypatch):
+    seen = []
+    real = c.fit_scorer
+    monkeypatch.setattr(c, "fit_scorer", lambda index, value, target, times: seen.append(times) or real(index, value, target, times))
+    c.fit(docs([(None, None)] * 300 + [(1, "a b c")]), sample_rows=10**9)
+    assert sorted(seen[0]) == [1, 300]
+
+
 def test_empty_table(docs):
     assert c.classified(docs([])).count() == 0
 
