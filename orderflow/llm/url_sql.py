@@ -15,12 +15,12 @@ def _rule_case(rules: list[Rule]) -> str:
 
 def _level(k: int, max_children: int, rare: float) -> str:
     return f"""
-    seen{k} as (select *, case when len(segments) > {k} then segments[{k + 1}] else '$' end as segment from grown{k}),
+    seen{k} as (select *, case when len(segments) > {k} then segments[{k + 1}] else '/' end as segment from grown{k}),
     child{k} as (select host, prefix, segment, sum(n) as n from seen{k} group by all),
     branch{k} as (select host, prefix, count(*) as k, sum(n) as total from child{k} group by all),
-    token{k} as (select c.host, c.prefix, c.segment, case when segment <> '$' and k > {max_children}
+    token{k} as (select c.host, c.prefix, c.segment, case when segment <> '/' and k > {max_children}
         and n < cast({rare} as double) * total then '*' else segment end as token from child{k} c join branch{k} using (host, prefix)),
-    grown{k + 1} as (select s.* exclude (prefix, segment), case when token = '$' then prefix else prefix || '/' || token end as prefix
+    grown{k + 1} as (select s.* exclude (prefix, segment), case when token = '/' then prefix else prefix || '/' || token end as prefix
         from seen{k} s join token{k} using (host, prefix, segment)),"""
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from orderflow.sources.workdir import stored
 
-WILD, END = "*", "$"
+# A segment holds no slash, so this one marks the end of a path.
+WILD, END = "*", "/"
 # A segment that is plainly variable, and its extension.
 VARIABLE = r"^(?:[0-9]+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{32,})(\.[A-Za-z]{1,5})?\z"
 # Levels between two writes: a plan names its input several times a level, and would grow by that factor with each.

@@ -46,6 +46,13 @@ def test_hosts_paths_and_rules(spark):
             assert r.verdict == ("block" if r.rule in ("example.org/es/", "example.org/en/1", "com/de/") else "allow")
 
 
+def test_segments_that_look_like_marks(spark):
+    rows = [(0, "http://a.net/$/x"), (1, "http://a.net/$"), (2, "http://a.net//x"), (3, "http://a.net/")]
+    judged = {r.page_id: r.template for r in urls.judged(*frames(spark, rows, []), []).select("page_id", "template").collect()}
+    # unlabelled branches of one length merge
+    assert judged == {0: "/{*}/x", 1: "/{*}", 2: "/{*}/x", 3: "/{*}"}
+
+
 def test_impure_templates_are_blocked_and_clean_ones_stay(spark):
     rng = random.Random(1)
     rows = [(i, f"http://shop.net/{'deals' if i % 2 else 'items'}/{rng.randint(1, 10**6)}.html") for i in range(400)]
