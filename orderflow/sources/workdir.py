@@ -38,8 +38,18 @@ def _session_folder(application: str) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_root(spark)}/orderflow/{name}-{uuid.uuid4().hex}"
+    """A path below the session's part of the shared folder that nothing else uses."""
+    return f"{_session_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _session_scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/orderflow/{spark.sparkContext.applicationId}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Remove all that this session stored on the way, when none of its frames is read any more."""
+    if exists(spark, _session_scratch(spark)):
+        discard(spark, _session_scratch(spark))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -104,6 +104,8 @@ def _marked(rows: pd.DataFrame, taken) -> pd.DataFrame:
     return pd.DataFrame({"_row": rows["_row"].to_numpy(), "_taken": taken}, index=range(len(rows)))
 
 
+STATUSES = (events.MALFORMED, events.SKIPPED, events.DUPLICATE, events.ACCEPTED)
+_OUTCOMES = "outcomes"
 # Types that pass through text unharmed.
 _PLAIN = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)
 
@@ -180,9 +182,10 @@ def route_stream(
         rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "status", "batch_id").parquet(f"{root}/routed")
 
+    routed = apart.unionByName(kept).observe(_OUTCOMES, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
     with _keyed_state(spark):
         query = (
-            apart.unionByName(kept).writeStream.foreachBatch(write)
+            routed.writeStream.foreachBatch(write)
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
@@ -192,6 +195,12 @@ def route_stream(
     return query
 
 
+def stream_outcomes(query: StreamingQuery) -> dict[str, int]:
+    """Arrivals by status that a call of ``route_stream`` routed, as its writes counted them."""
+    seen = [p["observedMetrics"][_OUTCOMES] for p in query.recentProgress if _OUTCOMES in p["observedMetrics"]]
+    return {s: sum(row[s] for row in seen) for s in STATUSES}
+
+
 def alert_stream(
     metrics: DataFrame, ts: str, path: str, checkpoint: str, delay: str = "10 minutes", **settings
 ) -> StreamingQuery:

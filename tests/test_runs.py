@@ -14,7 +14,7 @@ from orderflow.plans import batch as batch_plan
 from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
 from orderflow.schemas import FACT, RAW_LANDING, max_length
 from orderflow.sources import target
-from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream
+from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream, stream_outcomes
 from orderflow.streaming.ingest import batch_context, run_incremental
 from orders import CTX, raw
 
@@ -270,7 +270,8 @@ def test_arrivals_without_time_and_each_status_in_its_folder(spark, tmp_path):
     frame = spark.createDataFrame(rows, "event_id bigint, s bigint, bucket string, key string").select(
         "event_id", F.timestamp_seconds("s").alias("ts"), "bucket", "key")
     frame.write.parquet(source)
-    route_stream(spark.readStream.schema(frame.schema).parquet(source), out, checkpoint, "b", ["orders/"], ident=["event_id"])
+    query = route_stream(spark.readStream.schema(frame.schema).parquet(source), out, checkpoint, "b", ["orders/"], ident=["event_id"])
+    assert stream_outcomes(query) == {"malformed": 0, "skipped": 1, "duplicate": 2, "accepted": 1}
     for status, want in (("accepted", {1}), ("duplicate", {2, 3}), ("skipped", {4})):
         assert {r["event_id"] for r in read_routed(spark, out, status).collect()} == want
         assert {r["event_id"] for r in spark.read.parquet(f"{out}/routed/status={status}").collect()} == want
