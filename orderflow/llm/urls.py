@@ -92,36 +92,59 @@ def _merged(leaves: DataFrame, level: int, z: float) -> DataFrame:
             .withColumn("template", F.coalesce("merged", "template")).drop("merged"))
 
 
+def _grown(shapes: DataFrame, depth: int, max_children: int, rare: float) -> DataFrame:
+    """Each shape with its whole template as ``prefix``, level by level as long as paths have company.
+
+    Every few levels the rows are written. A path that is alone on its template has no branch ahead, so the rest of it is taken over as it
+    is: passes grow with the depth to which paths branch, not with the longest of them.
+    """
+    grown, ended, level = shapes.withColumn("prefix", F.lit("")), [], 0
+    while True:
+        for _ in range(min(_LEVELS, depth - level)):
+            grown, level = _generalised(grown, level, max_children, rare), level + 1
+        if level >= depth:
+            return reduce(DataFrame.unionByName, ended, grown)
+        grown = stored(grown, "url-level")
+        further = grown.where(F.size("segments") > level)
+        company = further.groupBy("host", "prefix").agg(F.count("*").alias("company"))
+        further = further.join(company, ["host", "prefix"])
+        rest = F.concat_ws("/", "prefix", F.slice("segments", level + 1, F.size("segments")))
+        ended += [grown.where(F.size("segments") <= level), further.where("company = 1").withColumn("prefix", rest).drop("company")]
+        grown = further.where("company > 1").drop("company")
+        depth = grown.agg(F.coalesce(F.max(F.size("segments")), F.lit(0))).first()[0]
+
+
+def _branching(leaves: DataFrame) -> list[int]:
+    """Levels at which two templates of a host and length part, the deepest first: where branches can merge at all.
+
+    Siblings are equal but for one level. Merging goes from the deepest level up, so what is above a level is as it was.
+    """
+    parts = F.split("template", "/", -1)
+    at = F.explode(F.sequence(F.lit(1), F.size("parts") - 1)).alias("level")
+    ways = leaves.select("host", parts.alias("parts")).where(F.size("parts") > 1).select("host", "parts", at).select(
+        "host", "level", F.size("parts").alias("n"), F.xxhash64(F.slice("parts", F.lit(1), F.col("level"))).alias("above"), F.col("parts")[F.col("level")].alias("part"))
+    forks = ways.groupBy("host", "n", "level", "above").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most")
+    return sorted((r["level"] for r in forks.select("level").distinct().collect()), reverse=True)
+
+
 def tree(shapes: DataFrame, depth: int, max_children: int, rare: float, z: float) -> DataFrame:
     """(host, path, template, bad, labelled) of each shape (host, path, segments, n, bad, labelled); counts are the template's.
 
     ``depth`` is the greatest number of segments. Templates come level by level to the end of every path; then branches
-    merge from the deepest level up. Every few levels the rows are written, and only paths that reach further are
-    worked on, so a few deep paths cost passes over few rows.
+    merge from the deepest level up, at the levels where any can.
     """
-    grown, ended = shapes.withColumn("prefix", F.lit("")), []
-    for level in range(depth):
-        if level and level % _LEVELS == 0:
-            grown = stored(grown, "url-level")
-            ended.append(grown.where(F.size("segments") <= level))
-            grown = grown.where(F.size("segments") > level)
-        grown = _generalised(grown, level, max_children, rare)
-    grown = reduce(DataFrame.unionByName, ended, grown)
+    grown = _grown(shapes, depth, max_children, rare)
     way = stored(grown.select("host", "path", F.col("prefix").alias("leaf"), "bad", "labelled"), "url-tree")
     leaves = way.groupBy("host", "leaf").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).withColumn("template", F.col("leaf"))
+    levels = list(range(depth, 0, -1))
     if depth > _LEVELS:
         leaves = stored(leaves, "url-leaves")
-    reach, all_leaves, merging = F.size(F.split("leaf", "/", -1)), leaves, None
-    for low in range((depth - 1) // _LEVELS * _LEVELS, -1, -_LEVELS):
-        high = min(low + _LEVELS, depth)
-        # a merge at a level is among templates that reach it
-        own = all_leaves if depth <= _LEVELS else all_leaves.where((reach > low + 1) & (reach <= high + 1) if low else reach <= high + 1)
-        merging = own if merging is None else merging.unionByName(own)
-        for level in range(high, low, -1):
-            merging = _merged(merging, level, z)
-        if low:
-            merging = stored(merging.select(*all_leaves.columns), "url-merged")
-    leaves = all_leaves if merging is None else merging
+        levels = _branching(leaves)
+    columns = leaves.columns
+    for i, level in enumerate(levels):
+        if i and i % _LEVELS == 0:
+            leaves = stored(leaves.select(columns), "url-merged")
+        leaves = _merged(leaves, level, z)
     leaves = leaves.select("host", "leaf", "template", "bad", "labelled")
     purity = leaves.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
     final = leaves.select("host", "leaf", "template").join(purity, ["host", "template"])

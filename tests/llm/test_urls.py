@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -46,6 +47,17 @@ def test_hosts_paths_and_rules(spark):
             assert r.verdict == ("block" if r.rule in ("example.org/es/", "example.org/en/1", "com/de/") else "allow")
 
 
+def test_one_very_deep_path_costs_few_passes(spark):
+    deep = "http://a.net/x/" + "/".join(f"s{i}" for i in range(2000))
+    rows = [(0, deep), (1, "http://a.net/x/s0/other"), (2, "http://a.net/y"), (3, deep.replace("/x/", "/z/")), (4, deep.replace("a.net", "b.net"))]
+    start = time.perf_counter()
+    judged = {r.page_id: r.template for r in urls.judged(*frames(spark, rows, []), []).select("page_id", "template").collect()}
+    assert time.perf_counter() - start < 60
+    path = deep.partition("a.net")[2]
+    # 0 and 3 are siblings at their first level
+    assert judged == {0: path.replace("/x/", "/{*}/"), 1: "/x/s0/other", 2: "/y", 3: path.replace("/x/", "/{*}/"), 4: path}
+
+
 def test_segments_that_look_like_marks(spark):
     rows = [(0, "http://a.net/$/x"), (1, "http://a.net/$"), (2, "http://a.net//x"), (3, "http://a.net/")]
     judged = {r.page_id: r.template for r in urls.judged(*frames(spark, rows, []), []).select("page_id", "template").collect()}
