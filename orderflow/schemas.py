@@ -226,8 +226,6 @@ AUDIT = T.StructType([
 ])
 
 
-# What a commit does to the list of current folders: "keep" and "add" name one, "remove" takes one off, "commit" is the
-# commit itself.
 MANIFEST_ENTRY = _struct([("url", "string"), ("mandatory", "boolean"), ("length", "bigint")])
 
 
