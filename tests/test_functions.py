@@ -59,3 +59,25 @@ def test_only_broken_bytes_are_blanked(spark):
 def test_prefixes_are_stripped(spark):
     assert values(spark, ["orders/x", "other/x"],
                   lambda c: fn.starts_with_any(c, [" orders/ ", "returns/"])) == [True, False]
+
+
+def test_int_casts_only_text_that_is_one(spark):
+    """A cast that fails costs an error a row: each is behind a look at the text, and none of that changes a result."""
+    texts = {"7": 7, " +07\t": 7, "\x01-7\x7f": -7, "12.": 12, " 12.9 ": 12, "\x0112.9": None, "12.3.4": None, "": None, "+": None,
+             "abc": None, "1e3": None, "999999999": 999999999, "2147483647": 2147483647, "2147483648": None, "-2147483648": -2147483648,
+             "-2147483649.5": None, "00000000000000000002147483647.0": 2147483647, "99999999999": None}
+    df = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n int")
+    assert df.filter(~fn.to_int(F.col("t")).eqNullSafe(F.col("n"))).collect() == []
+    # the first operand that coalesce tries is a check of the text, not a bare cast
+    plan = df.select(fn.to_int(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(CASE WHEN RLIKE" in plan
+
+
+def test_plain_dates_need_no_formatter(spark):
+    texts = ["2024-02-29", "2023-02-29", "2024-13-01", "0000-01-01", "9999-12-31", "2024-1-05", " 2024-01-05", "2024-01-05\n", "+12345-01-01",
+             "2024-01-05T", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    strict = F.try_to_date(F.col("t"), "yyyy-MM-dd")
+    assert df.filter(~fn.to_date(F.col("t")).eqNullSafe(strict)).collect() == []
+    plan = df.select(fn.to_date(F.col("t")).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN RLIKE" in plan
