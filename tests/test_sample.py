@@ -26,9 +26,12 @@ def test_lines_of_an_order_are_stored_together(spark, tmp_path):
     """Then the dedup, which limits each order before its shuffle, sends an order's row and not its lines."""
     root = str(tmp_path)
     tables(spark, root, 400)
-    # as large tables are joined and written: by shuffles, in many files
-    large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    # parts that are too many to broadcast, and more than one file
+    spark.range(10, 20_000).select(
+        F.col("id").alias("p_partkey"), F.md5(F.col("id").cast("string")).alias("p_name"), F.lit("PROMO").alias("p_type"),
+        F.lit(1.0).alias("p_retailprice")).write.mode("append").parquet(f"{root}/part.parquet")
+    large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "65536",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "65536"}
     before = {k: spark.conf.get(k, None) for k in large}
     for k, v in large.items():
         spark.conf.set(k, v)
