@@ -167,3 +167,16 @@ def test_a_value_that_does_not_fit_is_reported(spark):
     assert {r["order_id"]: r[cf.LOST] for r in rows.collect()} == {"far": "days_to_ship", "near": None}
     tagged = cf.tag_violations(cf.conform(clean, keep_lost=True).withColumn(cf.LOST, F.lit("days_to_ship")))
     assert {r[FAILURE] for r in tagged.collect()} == {"contract:days_to_ship out of range"} and cf.LOST not in tagged.columns
+
+
+def test_only_columns_whose_type_changes_can_get_lost(spark):
+    """A column that has the contract's type is not cast and checked again, and the reason is named once, not tried per column."""
+    clean = spark.createDataFrame([("a", 7, 3), ("b", 70000, None)], "order_id string, days_to_ship int, quantity int")
+    narrow = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("days_to_ship", T.ShortType()), T.StructField("quantity", T.IntegerType())])
+    rows = clean.withColumn(cf.LOST, cf.lost_column(clean, narrow))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "try_cast(days_to_ship" in plan and "try_cast(order_id" not in plan and "try_cast(quantity" not in plan
+    assert {r["order_id"]: r[cf.LOST] for r in rows.collect()} == {"a": None, "b": "days_to_ship"}
+    tagged = cf.tag_violations(rows, narrow)
+    assert tagged._jdf.queryExecution().analyzed().toString().count("out of range") == 1
+    assert {r["order_id"]: r[FAILURE] for r in tagged.collect()} == {"a": None, "b": "contract:days_to_ship out of range"}
