@@ -23,6 +23,8 @@ ENTITIES = {"order_id": "order_count", "customer_id": "customer_count"}
 # A sketch's registers: 2 to this; its standard error is some 0.8 %.
 SKETCH_BITS = 14
 _SUM = "decimal(24,2)"
+# What states and reports are made of.
+SOURCE_COLUMNS = [*SUMMARY_KEYS, *ENTITIES, "order_date", "quantity", "gross_revenue", "net_revenue", "days_to_ship", "is_late_shipment"]
 _SUMS = ["total_units", "total_gross_revenue", "total_net_revenue", "days_sum", "days_count", "late_shipments"]
 
 
@@ -52,13 +54,15 @@ def sums(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS, sketches: bool = F
 def id_sets(fact: DataFrame, column: str, numbers: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
     """(keys, entity, bucket, bitmap): the numbers of a group's ids, a bitmap for each 32,768 of them that has any.
 
-    Pairs of group and id meet first, so that the join sees an id once per group, however many rows it has.
+    Pairs of group and id meet first, so that the join sees an id once per group, however many rows it has. Numbers go to
+    their bitmap's task as they are: a group's ids are spread over all tasks of the join, which would send 4 KB for nearly each of them.
     """
     pairs = fact.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("value")).distinct()
     number = F.col("number")
-    return pairs.join(numbers, "value").groupBy(
-        *keys, F.lit(column).alias("entity"), F.bitmap_bucket_number(number).alias("bucket"),
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap"))
+    placed = pairs.join(numbers, "value").select(
+        *keys, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("position"))
+    return placed.repartition(*keys, "bucket").groupBy(*keys, F.lit(column).alias("entity"), "bucket").agg(
+        F.bitmap_construct_agg(F.col("position").cast("bigint")).alias("bitmap"))
 
 
 def _places(root: str) -> tuple[str, str]:

@@ -83,3 +83,24 @@ def test_refresh_follows_the_target(spark, tmp_path):
     # b moves and empties February; March is not worked out again
     assert load(2, {"order_id": "b", "customer_id": "CUST-9"}, {"order_id": "e"}) == [(2023, 11), (2024, 2)]
     assert states.refresh_states(spark, place, root) == []
+
+
+def test_numbers_are_moved_and_not_bitmaps(spark):
+    """A task that joins ids has few of each group's: bitmaps of 4 KB are made where all of a bitmap's numbers are."""
+    rows = lines(spark)
+    plan = states.id_sets(rows, "order_id", states.numbered(rows, "order_id"))._jdf.queryExecution().executedPlan().toString()
+    made = plan.index("bitmap_construct_agg")
+    assert 0 < plan.index("partial_bitmap_construct_agg") < plan.index("Exchange hashpartitioning", made)
+    # ids of several buckets of 32,768
+    many = spark.range(70_000).select(F.concat(F.lit("o"), "id").alias("order_id"), (F.col("id") % 3).alias("region"))
+    sets = states.id_sets(many.unionByName(many), "order_id", states.numbered(many, "order_id"), ["region"])
+    found = sets.groupBy("region").agg(F.sum(F.bitmap_count("bitmap")).alias("n"), F.count("*").alias("buckets")).collect()
+    assert sorted((r["region"], r["n"], r["buckets"]) for r in found) == [(0, 23334, 3), (1, 23333, 3), (2, 23333, 3)]
+
+
+def test_states_are_made_from_the_columns_they_read(spark, tmp_path):
+    from registered import reporting
+    rows = lines(spark).withColumn("product_name", F.lit("x"))
+    kept, root = reporting._states(spark, rows)
+    assert kept.columns == states.SOURCE_COLUMNS and kept.count() == rows.count()
+    same(states.summary_from_states(spark, root, kept, dt.date(2024, 6, 1)), reports.summary(rows, dt.date(2024, 6, 1)))
