@@ -82,3 +82,15 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     plan = dedup_latest(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     below_exchange = plan.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in below_exchange
+
+
+def test_only_raw_columns_are_shuffled_for_the_dedup(spark):
+    plan = transform(raw(spark, {}, {}), CTX)._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window "):]
+    assert "gross_revenue" in plan[:plan.index("Window ")]
+    assert not any(c in window for c in ("gross_revenue", "days_to_ship", "order_quarter", "_run_id"))
+
+
+def test_a_derived_column_may_be_a_key(spark):
+    rows = raw(spark, {}, {"ship_date": "2023-11-30"}, {"city": "x"})
+    assert sorted(r["days_to_ship"] for r in transform(rows, CTX, keys=("order_id", "days_to_ship")).collect()) == [3, 24]
