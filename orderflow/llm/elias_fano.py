@@ -77,6 +77,23 @@ class EliasFano:
         bit = word * 64 + _select_in_word(self.high[word], i - self.ones[word])
         return ((bit - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
 
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at positions and at those after them. The next one of the high bits mostly lies in the same word."""
+        word = np.searchsorted(self.ones, i.astype(np.uint32), "right") - 1
+        high = self.high[word]
+        at = _select_in_word(high, i - self.ones[word])
+        rest = (high >> at.astype(np.uint64)) & ~_ONE
+        following = word * 64 + at + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        over = np.flatnonzero(rest == 0)
+        if len(over):
+            # the first one of the next word that has any
+            then = np.searchsorted(self.ones, (i[over] + 1).astype(np.uint32), "right") - 1
+            first = self.high[then]
+            following[over] = then * 64 + np.bitwise_count((first & (~first + _ONE)) - _ONE)
+        l = np.uint64(self.l)
+        return (((word * 64 + at - i).astype(np.uint64) << l) | self._low(i),
+                ((following - i - 1).astype(np.uint64) << l) | self._low(i + 1))
+
     def _below(self, part: np.ndarray) -> np.ndarray:
         """How many values have a high part less than each of ``part``: ones before as many zeros."""
         if self._zeros is None:
@@ -119,17 +136,15 @@ class EliasFano:
         low_part = values[inside] & np.uint64((1 << self.l) - 1)
         low = self._below(part[inside])
         high = low + self._run(part[inside] + low)
-        # lower bound of the low bits in [low, high), all at once
-        end = high.copy()
-        while True:
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                break
+        here = np.flatnonzero(low < high)
+        # lower bound of the low bits in [low, high), all at once; a run of one is only compared
+        open_ = np.flatnonzero(high > low + 1)
+        while len(open_):
             middle = (low[open_] + high[open_]) >> 1
-            less = self._low(middle) < low_part[open_]
-            low[open_] = np.where(less, middle + 1, low[open_])
+            less = self._low(middle - 1) < low_part[open_]
+            low[open_] = np.where(less, middle, low[open_])
             high[open_] = np.where(less, high[open_], middle)
-        here = np.flatnonzero(low < end)
+            open_ = open_[high[open_] > low[open_] + 1]
         same = here[self._low(low[here]) == low_part[here]]
         out[inside[same]] = low[same]
         return out

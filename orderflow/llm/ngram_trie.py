@@ -20,7 +20,7 @@ from orderflow.sources.workdir import fresh_dir
 # The end of a text as a token, and before its first word as context; no word holds a line end.
 END = b"\n"
 # Tokens that a task looks at together.
-_TOKENS = 1 << 19
+_TOKENS = 1 << 20
 # Bytes of text per shard of a level.
 _SHARD_BYTES = 8 << 20
 _EF = (("low", "uint64"), ("high", "uint64"), ("ones", "uint32"))
@@ -31,10 +31,27 @@ def tokens(text: bytes) -> list[bytes]:
     return [*words(text), END]
 
 
+def grouped(batches, column: str, limit: int):
+    """Batches put together as long as they have at most ``limit`` bytes of text, with six bytes a row more.
+
+    A chunk asks every shard of every level, so what an ask costs by itself is paid per chunk.
+    """
+    held, size = [], 0
+    for batch in batches:
+        own = (pc.sum(pc.binary_length(batch.column(column))).as_py() or 0) + 6 * batch.num_rows
+        if held and size + own > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def chunks(batches, column: str = "text", size: int = _TOKENS):
     """(batch, first row, distinct token hashes in order, which of them each token is, tokens per row) over whole rows of
     about ``size`` tokens, taken as six bytes each."""
-    for batch in batches:
+    for batch in grouped(batches, column, 6 * size):
         bodies = pc.ascii_lower(pc.fill_null(batch.column(column).cast(pa.large_string()), ""))
         ends = np.cumsum(pc.binary_length(bodies).to_numpy() + 6) // (6 * size)
         cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), len(ends)]
@@ -137,7 +154,7 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[Level, int]:
         for _, _, value, which, _ in chunks(batches):
             held.append((value, np.bincount(which, minlength=len(value))))
             size += len(held[-1][0])
-            if size >= 2 * _TOKENS:
+            if size >= _TOKENS:
                 yield from sent(held).to_batches()
                 held, size = [], 0
         if held:
@@ -161,6 +178,20 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[Level, int]:
     return _level(found, 1, 1 << bits), sum(r["tokens"] for r in found)
 
 
+def _runs(shard: np.ndarray):
+    """(shard, slice of its rows) of rising shard numbers: no look at all rows per shard."""
+    cuts = [*np.flatnonzero(np.append(True, shard[1:] != shard[:-1])).tolist(), len(shard)] if len(shard) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(shard[a]), slice(a, b)
+
+
+def _scattered(shard: np.ndarray):
+    """(shard, its rows) of shard numbers in any order."""
+    order = np.argsort(shard, kind="stable")
+    for k, mine in _runs(shard[order]):
+        yield k, order[mine]
+
+
 class Trie:
     """Levels mapped when asked. Nodes of a level are numbered over all its shards."""
 
@@ -186,11 +217,9 @@ class Trie:
         """Id (-1 if unknown) and count of each of rising hashes."""
         spec = self.model.levels[0]
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        shard = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        for k in np.unique(shard).tolist():
+        for k, mine in _runs((hashes >> np.uint64(64 - self.bits)).astype(np.int64)):
             if not spec.stems[k]:
                 continue
-            mine = np.flatnonzero(shard == k)
             sequence, own = self._shard(0, k)
             at = sequence.find(hashes[mine] - np.uint64(k << (64 - self.bits)))
             ids[mine] = np.where(at >= 0, at + spec.offsets[k], -1)
@@ -198,37 +227,41 @@ class Trie:
         return ids, counts
 
     def successors(self, level: int, parents: np.ndarray, words_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Node (-1 if none), log10 probability and log10 back-off weight of the parent for (parent, word), sorted by both.
+        """Node (-1 if none), log10 probability and, where there is none, log10 back-off weight of the parent for (parent, word),
+        sorted by both.
 
         A parent's pointers bound its successors; their words are stored as differences to what came before the
         parent, so the search is for the word relative to this context.
         """
         spec = self.model.levels[level]
         nodes, logs, backs = np.full(len(parents), -1, np.int64), np.zeros(len(parents)), np.zeros(len(parents))
-        shard = np.searchsorted(np.array(spec.firsts), parents, "right") - 1
-        for k in np.unique(shard).tolist():
+        for k, mine in _runs(np.searchsorted(np.array(spec.firsts), parents, "right") - 1):
             if not spec.stems[k]:
                 continue
-            mine = np.flatnonzero(shard == k)
             pointers, sequence, codes, book, back_codes, back_book = self._shard(level, k)
             parent = parents[mine] - spec.firsts[k]
             new = np.append(True, parent[1:] != parent[:-1])
             parent, which = parent[new], np.cumsum(new) - 1
             inside = np.flatnonzero(parent < pointers.n - 1)
             begin, end = np.zeros(len(parent), np.int64), np.zeros(len(parent), np.int64)
-            begin[inside] = pointers.access(parent[inside]).astype(np.int64)
-            end[inside] = pointers.access(parent[inside] + 1).astype(np.int64)
-            base = np.zeros(len(parent), np.uint64)
-            after = np.flatnonzero(begin > 0)
-            base[after] = sequence.access(begin[after] - 1)
-            at = sequence.find(base[which] + words_[mine].astype(np.uint64) + np.uint64(1))
+            begin[inside], end[inside] = (x.astype(np.int64) for x in pointers.access_two(parent[inside]))
+            base, least = np.zeros(len(parent), np.uint64), np.zeros(len(parent), np.uint64)
+            after = np.flatnonzero((begin > 0) & (end > begin))
+            base[after], least[after] = sequence.access_two(begin[after] - 1)
+            start = np.flatnonzero((begin == 0) & (end > begin))
+            least[start] = sequence.access(begin[start])
+            # the least successor is known from its parent; only words beyond it are searched
+            key, at = base[which] + words_[mine].astype(np.uint64) + np.uint64(1), np.full(len(which), -1, np.int64)
+            here = np.flatnonzero((end > begin)[which] & (key == least[which]))
+            at[here] = begin[which[here]]
+            beyond = np.flatnonzero((end > begin + 1)[which] & (key > least[which]))
+            at[beyond] = sequence.find(key[beyond])
             ok = (at >= begin[which]) & (at < end[which])
             nodes[mine] = np.where(ok, at + spec.offsets[k], -1)
             logs[mine] = np.where(ok, book[codes[np.maximum(at, 0)]], 0.0)
-            has = np.zeros(len(parent))
-            some = np.flatnonzero(end > begin)
-            has[some] = back_book[back_codes[parent[some]]]
-            backs[mine] = has[which]
+            # without a successor the weight is 1
+            none = np.flatnonzero(~ok & (end > begin)[which])
+            backs[mine.start + none] = back_book[back_codes[parent[which[none]]]]
         return nodes, logs, backs
 
     def paths(self, value: np.ndarray, which: np.ndarray, sizes: np.ndarray, levels: int):
@@ -262,18 +295,14 @@ class Trie:
     def unigram(self, ids: np.ndarray) -> np.ndarray:
         """log10 add-one probability of each id."""
         spec, out = self.model.levels[0], np.zeros(len(ids), np.int64)
-        shard = np.searchsorted(np.array(spec.offsets), ids, "right") - 1
-        for k in np.unique(shard).tolist():
-            mine = np.flatnonzero(shard == k)
+        for k, mine in _scattered(np.searchsorted(np.array(spec.offsets), ids, "right") - 1):
             out[mine] = self._shard(0, k)[1][ids[mine] - spec.offsets[k]]
         return np.log10((out + 1) / (self.model.tokens + spec.offsets[-1] + 1))
 
     def log_of(self, level: int, nodes: np.ndarray) -> np.ndarray:
         """log10 probability of each node of a level above the first."""
         spec, out = self.model.levels[level], np.zeros(len(nodes))
-        shard = np.searchsorted(np.array(spec.offsets), nodes, "right") - 1
-        for k in np.unique(shard).tolist():
-            mine = np.flatnonzero(shard == k)
+        for k, mine in _scattered(np.searchsorted(np.array(spec.offsets), nodes, "right") - 1):
             _, _, codes, book, _, _ = self._shard(level, k)
             out[mine] = book[codes[nodes[mine] - spec.offsets[k]]]
         return out
@@ -313,7 +342,7 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     root = fresh_dir(docs.sparkSession, "trie")
     def count(batches):
         trie = Trie(model)
-        for _, _, value, which, sizes in chunks(batches, size=2 * _TOKENS):
+        for _, _, value, which, sizes in chunks(batches):
             if level == 1:
                 ids, steps = trie.ids(value)[0][which], []
             else:

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,3 +125,27 @@ def test_a_shard_of_a_level_is_one_file(docs):
         for stem in filter(None, level.stems):
             folder, _, name = stem.removeprefix("file:").rpartition("/")
             assert [p.name for p in Path(folder).glob(f"{name}*") if p.suffix != ".crc"] == [f"{name}-level"]
+
+
+@pytest.mark.parametrize("values", [[0, 1], [3, 3, 3, 9], list(range(0, 4000, 7)), [1, 2, *range(10**9, 10**9 + 300, 3)], [5] * 500 + [2**40]])
+def test_neighbours_are_read_together(values):
+    coded = EliasFano.coded(np.array(values))
+    own, after = coded.access_two(np.arange(len(values) - 1))
+    assert own.tolist() == values[:-1] and after.tolist() == values[1:]
+
+
+def test_small_batches_are_one_chunk():
+    batches = [pa.RecordBatch.from_pydict({"text": [f"a b{i}", None, ""]}) for i in range(40)]
+    (chunk,) = t.chunks(iter(batches))
+    assert chunk[0].num_rows == 120 and chunk[4].tolist() == [3, 1, 1] * 40
+    # a group ends before it gets too long, whatever the batches; no row is lost
+    assert sum(len(c[4]) for c in t.chunks(iter(batches), size=5)) == 120
+    assert max(b.num_rows for b in t.grouped(iter(batches), "text", 50)) == 6
+
+
+def test_an_ask_looks_at_each_row_once():
+    """Rows of a shard are cut out of the sorted ones, not picked from all rows shard by shard."""
+    shard = np.repeat([0, 2, 5], [2, 1, 3])
+    assert [(k, m.start, m.stop) for k, m in t._runs(shard)] == [(0, 0, 2), (2, 2, 3), (5, 3, 6)]
+    assert [(k, m.tolist()) for k, m in t._scattered(np.array([5, 0, 5, 2]))] == [(0, [1]), (2, [3]), (5, [0, 2])]
+    assert list(t._runs(np.zeros(0, np.int64))) == []
