@@ -154,21 +154,32 @@ class Scorer:
 
 
 _PIECE = 1 << 20
+# Features of the fit that are looked at together.
+_RUN = 1 << 17
 
 
 def fit_scorer(index: list[np.ndarray], value: list[np.ndarray], target: np.ndarray, times: np.ndarray, rounds: int = 150, ridge: float = 1e-4) -> Scorer:
-    """Logistic regression on soft targets by gradient steps scaled per weight; ``times`` is how often each row is there."""
+    """Logistic regression on soft targets by gradient steps scaled per weight; ``times`` is how often each row is there.
+
+    Rows go by in runs of about ``_RUN`` features, so beside the rows little is held at a time.
+    """
     weights, bias = np.zeros(_DIMENSIONS), 0.0
     if len(target):
         part = times / times.sum()
         sizes = np.array([len(x) for x in index])
-        index, value = np.concatenate(index), np.concatenate(value).astype(np.float64)
-        starts = np.cumsum(sizes) - sizes
+        run = (np.cumsum(sizes) - sizes) // _RUN
+        cuts = [*np.flatnonzero(np.append(True, run[1:] != run[:-1])).tolist(), len(sizes)]
         seen, bias_seen = np.full(_DIMENSIONS, 1e-8), 1e-8
+        error = np.zeros(len(target))
         for _ in range(rounds):
-            margin = np.add.reduceat(weights[index] * value, starts) + bias
-            error = part * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target)
-            slope = np.bincount(index, value * np.repeat(error, sizes), _DIMENSIONS) + ridge * weights
+            slope = np.zeros(_DIMENSIONS)
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                own, x = np.concatenate(index[a:b]), np.concatenate(value[a:b]).astype(np.float64)
+                margin = np.add.reduceat(weights[own] * x, np.cumsum(sizes[a:b]) - sizes[a:b]) + bias
+                error[a:b] = part[a:b] * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target[a:b])
+                x *= np.repeat(error[a:b], sizes[a:b])
+                np.add.at(slope, own, x)
+            slope += ridge * weights
             seen += slope**2
             bias_seen += error.sum() ** 2
             weights -= 0.3 * slope / np.sqrt(seen)
@@ -176,6 +187,15 @@ def fit_scorer(index: list[np.ndarray], value: list[np.ndarray], target: np.ndar
     return Scorer(weights.astype(np.float32), float(bias))
 
 
+def _lists(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    """Each row's list, as a view of the column: no object per value."""
+    out = []
+    for chunk in column.chunks:
+        at, values = chunk.offsets.to_pylist(), chunk.values.to_numpy().astype(kind, copy=False)
+        out += [values[a:b] for a, b in zip(at[:-1], at[1:])]
+    return out
+
+
 def fit(docs: DataFrame, sample_rows: int = 4000) -> tuple[LabelModel, Scorer]:
     """The label model from all rows' votes and the scorer from about ``sample_rows`` rows.
 
@@ -207,10 +227,12 @@ def fit(docs: DataFrame, sample_rows: int = 4000) -> tuple[LabelModel, Scorer]:
     share = int(min(1.0, sample_rows / counts.sum()) * steps)
     key = F.xxhash64("doc_id", "text")
     chosen = docs.where(F.pmod(key, F.lit(steps)) < share).groupBy(key.alias("key")).agg(F.any_value("text").alias("text"), F.count("*").alias("times"))
-    rows = chosen.select("text", "times").mapInArrow(described, "times long, votes array<int>, index array<int>, value array<float>").toArrow().to_pydict()
-    target = labels.posterior(np.array(rows["votes"]).reshape(-1, patterns.shape[1]).astype(int)) if rows["votes"] else np.zeros(0)
-    order = sorted(range(len(target)), key=lambda i: (rows["votes"][i], rows["index"][i]))
-    scorer = fit_scorer([np.array(rows["index"][i], np.int32) for i in order], [np.array(rows["value"][i], np.float32) for i in order], target[order], np.array(rows["times"], float)[order])
+    rows = chosen.select("text", "times").mapInArrow(described, "times long, votes array<int>, index array<int>, value array<float>").toArrow()
+    cast_, index, value = _lists(rows["votes"], np.int32), _lists(rows["index"], np.int32), _lists(rows["value"], np.float32)
+    target = labels.posterior(np.array(cast_).reshape(-1, patterns.shape[1]).astype(int)) if cast_ else np.zeros(0)
+    # by votes, then by features: lists of numbers from 0 on compare like their bytes, the highest first
+    order = sorted(range(len(target)), key=lambda i: ((cast_[i] + 1).astype(">i4").tobytes(), index[i].astype(">i4").tobytes()))
+    scorer = fit_scorer([index[i] for i in order], [value[i] for i in order], target[order], rows["times"].to_numpy().astype(float)[order])
     return labels, scorer
 
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from orderflow.llm import classifier as c
@@ -63,6 +65,31 @@ def test_equal_rows_reach_the_driver_once(spark, docs, monkeypatch):
     assert sorted(seen[0]) == [1, 300]
 
 
+def test_the_fit_holds_numbers_not_objects(docs):
+    """A Python object for each feature of the sample would take over 60 bytes of the driver; an index and a value take 8."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(33, 127, 3000, np.uint8).tobytes().decode()) for i in range(400)]
+    n = sum(len(c.features(t.encode())[0]) for _, t in rows)
+    tracemalloc.start()
+    try:
+        c.fit(docs(rows), sample_rows=10**9)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 10**6 and peak < 30 * n
+
+
+def test_rows_of_a_fit_go_by_in_runs(monkeypatch):
+    """Any cut of the rows gives the same weights."""
+    rng = np.random.default_rng(8)
+    index = [rng.integers(0, c._DIMENSIONS, n).astype(np.int32) for n in (3, 500, 1, 90, 40)]
+    value, target, times = [rng.random(len(x), np.float32) for x in index], rng.random(5), np.array([1.0, 2, 1, 5, 1])
+    whole = c.fit_scorer(index, value, target, times)
+    monkeypatch.setattr(c, "_RUN", 50)
+    cut = c.fit_scorer(index, value, target, times)
+    assert (whole.weights == cut.weights).all() and whole.bias == cut.bias and whole.weights.any()
+
+
 def test_empty_table(docs):
     assert c.classified(docs([])).count() == 0
 
