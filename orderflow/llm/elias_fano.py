@@ -68,8 +68,11 @@ class EliasFano:
         bit = i.astype(np.uint64) * np.uint64(self.l)
         word, shift = (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
         value = self.low[word] >> shift
-        rest = self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63))
-        return (value | np.where(shift > 0, rest, np.uint64(0))) & np.uint64((1 << self.l) - 1)
+        # few parts go on in the next word
+        over = np.flatnonzero(shift > np.uint64(64 - self.l))
+        if len(over):
+            value[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
+        return value & np.uint64((1 << self.l) - 1)
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values at positions, as unsigned integers."""

@@ -20,9 +20,9 @@ from orderflow.sources.workdir import fresh_dir
 # The end of a text as a token, and before its first word as context; no word holds a line end.
 END = b"\n"
 # Tokens that a task looks at together.
-_TOKENS = 1 << 20
-# Bytes of text per shard of a level.
-_SHARD_BYTES = 8 << 20
+_TOKENS = 1 << 21
+# Bytes of text per shard of a level. A chunk asks each shard, so an ask has to have enough rows to be worth its calls.
+_SHARD_BYTES = 16 << 20
 _EF = (("low", "uint64"), ("high", "uint64"), ("ones", "uint32"))
 
 
@@ -58,22 +58,28 @@ def chunks(batches, column: str = "text", size: int = _TOKENS):
         for low, high in zip(cuts[:-1], cuts[1:]):
             if low == high:
                 continue
-            split = pc.ascii_split_whitespace(bodies.slice(low, high - low))
-            owner = np.repeat(np.arange(high - low), np.diff(split.offsets.to_numpy()))
-            found = split.flatten()
-            # white space at either end leaves an empty string there
-            full = pc.not_equal(found, "")
-            owner, found = owner[full.to_numpy(zero_copy_only=False)], found.filter(full).dictionary_encode()
-            hashes = np.array([*map(xxh64_intdigest, found.dictionary.to_pylist()), xxh64_intdigest(END)], np.uint64)
-            sizes = np.bincount(owner, minlength=high - low) + 1
-            number = np.full(int(sizes.sum()), len(hashes) - 1)
-            word = np.ones(len(number), bool)
-            word[np.cumsum(sizes) - 1] = False
-            number[word] = found.indices.to_numpy()
-            order = np.argsort(hashes)
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            yield batch, low, hashes[order], rank[number], sizes
+            yield batch, low, *_tokenised(bodies.slice(low, high - low))
+
+
+def _tokenised(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct token hashes in order, which of them each token is, tokens per row. A function, so that nothing else is held
+    while a chunk is looked at."""
+    split = pc.ascii_split_whitespace(bodies)
+    owner = np.repeat(np.arange(len(bodies)), np.diff(split.offsets.to_numpy()))
+    found = split.flatten()
+    # white space at either end leaves an empty string there
+    full = pc.not_equal(found, "")
+    owner, found = owner[full.to_numpy(zero_copy_only=False)], found.filter(full).dictionary_encode()
+    hashes = np.array([*map(xxh64_intdigest, found.dictionary.to_pylist()), xxh64_intdigest(END)], np.uint64)
+    sizes = np.bincount(owner, minlength=len(bodies)) + 1
+    number = np.full(int(sizes.sum()), len(hashes) - 1)
+    word = np.ones(len(number), bool)
+    word[np.cumsum(sizes) - 1] = False
+    number[word] = found.indices.to_numpy()
+    order = np.argsort(hashes)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return hashes[order], rank[number], sizes
 
 
 @dataclass(frozen=True)
@@ -281,8 +287,9 @@ class Trie:
             key, back_at = self._distinct(parent[ask], ids[ask])
             found, logs, backs = self.successors(level, key[0], key[1])
             node, own = np.full(len(ids), -1, np.int64), log + 0.0
-            node[ask] = found[back_at]
-            own[ask] = np.where(found >= 0, logs, 0.0)[back_at] + np.where(found[back_at] >= 0, 0.0, backs[back_at] + log[ask])
+            at = found[back_at]
+            node[ask] = at
+            own[ask] = np.where(found >= 0, logs, backs)[back_at] + np.where(at >= 0, 0.0, log[ask])
             # a known context before an unknown word
             rest = np.flatnonzero((parent >= 0) & (ids < 0))
             if len(rest):
@@ -299,14 +306,6 @@ class Trie:
             out[mine] = self._shard(0, k)[1][ids[mine] - spec.offsets[k]]
         return np.log10((out + 1) / (self.model.tokens + spec.offsets[-1] + 1))
 
-    def log_of(self, level: int, nodes: np.ndarray) -> np.ndarray:
-        """log10 probability of each node of a level above the first."""
-        spec, out = self.model.levels[level], np.zeros(len(nodes))
-        for k, mine in _scattered(np.searchsorted(np.array(spec.offsets), nodes, "right") - 1):
-            _, _, codes, book, _, _ = self._shard(level, k)
-            out[mine] = book[codes[nodes[mine] - spec.offsets[k]]]
-        return out
-
     @staticmethod
     def _distinct(parent: np.ndarray, word: np.ndarray):
         """Distinct pairs in order, and which of them each is."""
@@ -332,8 +331,9 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     """The next level: every n-gram one longer, with Witten-Bell probabilities interpolated over the shorter ones.
 
     An n-gram is its context's node, found in the levels so far, and a word. Tasks count what they read; counts meet
-    by ranges of context numbers, which are even because numbers follow hashes. A shard holds the distinct
-    successors of its contexts, at most the vocabulary for one context.
+    by ranges of context numbers, which are even because numbers follow hashes. The probability over the shorter ones goes
+    along, since the task that counts has found it already. A shard holds the distinct successors of its contexts, at most
+    the vocabulary for one context.
     """
     level = len(model.levels)
     contexts = model.levels[-1].offsets[-1]
@@ -344,9 +344,9 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
         trie = Trie(model)
         for _, _, value, which, sizes in chunks(batches):
             if level == 1:
-                ids, steps = trie.ids(value)[0][which], []
+                ids, log, steps = trie.ids(value)[0][which], None, []
             else:
-                ids, _, _, _, steps = trie.paths(value, which, sizes, level)
+                ids, _, _, log, steps = trie.paths(value, which, sizes, level)
             before = steps[-1][1] if steps else ids
             parent = np.append(-1, before[:-1])
             start = np.cumsum(sizes) - sizes
@@ -355,23 +355,28 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
             (p, w), pair = Trie._distinct(parent[use], ids[use])
             columns = [p, w]
             if level > 1:
-                lower = np.zeros(len(p), np.int64)
-                lower[pair] = before[use]
-                columns.append(lower)
-            yield from dealt(p // width, *columns, np.bincount(pair, minlength=len(p))).to_batches()
+                lower = np.zeros(len(p), np.float32)
+                lower[pair] = log[use]
+                columns.append(lower.view(np.int32))
+            n = np.bincount(pair, minlength=len(p))
+            del ids, log, steps, before, parent, use, pair
+            yield from dealt(p // width, *columns, n, rising=True).to_batches()
 
     def build(batches):
         trie = Trie(model)
         for shard, blobs in by_part(batches):
-            columns, low = unpacked(blobs, 4 if level > 1 else 3), shard * width
+            columns, low = unpacked(blobs, 4 if level > 1 else 3, rising=True), shard * width
             key, n, row = _summed((columns[0] - low) * words_ + columns[1], columns[-1])
             parent, word = key // words_ + low, key % words_
-            p_lower = trie.log_of(level - 1, columns[2][row]) if level > 1 else trie.unigram(word)
+            del key
+            p_lower = columns[2][row].astype(np.int32).view(np.float32).astype(float) if level > 1 else trie.unigram(word)
+            del columns, row
             first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
             sizes = np.diff(np.append(first, len(parent)))
             totals = np.add.reduceat(n, first)
             kinds, mass = np.repeat(sizes, sizes), np.repeat(totals, sizes)
             log = np.log10((n + kinds * 10.0**p_lower) / (mass + kinds))
+            del p_lower, kinds, mass
             count_of = min(width, contexts - low)
             per = np.zeros(count_of, np.int64)
             per[parent[first] - low] = sizes
@@ -388,10 +393,15 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
     return _level(found, 2, shards, [k * width for k in range(shards)])
 
 
+def shard_bits(total_bytes: int) -> int:
+    """Levels have 2 to the power of this number of shards."""
+    return max(1, (total_bytes // _SHARD_BYTES).bit_length())
+
+
 def fit(docs: DataFrame, order: int = 3) -> Model:
     """The trie of all texts of ``docs``. A level is one pass; what the driver holds is a row per shard."""
     total_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(1, (total_bytes // _SHARD_BYTES).bit_length())
+    bits = shard_bits(total_bytes)
     first, total = vocabulary(docs, bits)
     model = Model(total, (first,))
     while len(model.levels) < order and total:

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from orderflow.llm import ngram_trie as t
+from orderflow.llm import packing
 from orderflow.llm.elias_fano import EliasFano
 from orderflow.llm.queries import QUERIES
 
@@ -149,3 +150,32 @@ def test_an_ask_looks_at_each_row_once():
     assert [(k, m.start, m.stop) for k, m in t._runs(shard)] == [(0, 0, 2), (2, 2, 3), (5, 3, 6)]
     assert [(k, m.tolist()) for k, m in t._scattered(np.array([5, 0, 5, 2]))] == [(0, [1]), (2, [3]), (5, [0, 2])]
     assert list(t._runs(np.zeros(0, np.int64))) == []
+
+
+def test_rising_columns_go_as_differences():
+    """What the counts send: contexts of a part rise, so that their differences are small, negative first ones included."""
+    part = np.repeat([0, 3, 4], [5000, 1, 3000])
+    first = np.sort(np.random.default_rng(5).integers(10**6, 10**9, len(part))) - 2 * 10**6
+    other = np.arange(len(part)) % 7
+    plain, rising = packing.dealt(part, first, other), packing.dealt(part, first, other, rising=True)
+    assert rising.column("part").to_pylist() == plain.column("part").to_pylist() == [0, 3, 4]
+    back = packing.unpacked(rising.column("blob").to_pylist(), 2, rising=True)
+    assert (back[0] == first).all() and (back[1] == other).all()
+    assert rising.nbytes < 0.9 * plain.nbytes
+    assert [len(x) for x in packing.unpacked([], 2, rising=True)] == [0, 0]
+    assert packing.dealt(part[:0], first[:0], other[:0], rising=True).num_rows == 0
+
+
+def test_an_ask_has_rows_enough():
+    """What an ask of a shard costs by itself is paid per chunk and shard: with 10 GB of text, two thousand tokens share it."""
+    assert t.shard_bits(0) == 1
+    assert 10 << 30 <= t._SHARD_BYTES << t.shard_bits(10 << 30)
+    assert t._TOKENS >> t.shard_bits(10 << 30) >= 2048
+
+
+def test_parts_over_the_end_of_a_word():
+    """Low parts of 1 to 55 bits, in one word and over two."""
+    for l in (1, 7, 31, 33, 50, 55):
+        values = np.sort(np.random.default_rng(l).integers(0, 200 << l, 200)).astype(np.uint64)
+        coded = EliasFano.coded(np.append(values, np.uint64(201 << l)))
+        assert coded.l == l and (coded.access(np.arange(200)) == values).all()
