@@ -40,8 +40,8 @@ def grouped(batches, column: str, limit: int):
     for batch in batches:
         own = (pc.sum(pc.binary_length(batch.column(column))).as_py() or 0) + 6 * batch.num_rows
         if held and size + own > limit:
-            yield pa.concat_batches(held)
-            held, size = [], 0
+            whole, held, size = pa.concat_batches(held), [], 0
+            yield whole
         held.append(batch)
         size += own
     if held:
@@ -271,15 +271,14 @@ class Trie:
         return nodes, logs, backs
 
     def paths(self, value: np.ndarray, which: np.ndarray, sizes: np.ndarray, levels: int):
-        """Per token of whole texts: id, count, log10 p of the first and of the last of ``levels``; and per level from the
-        second on (parent, node)."""
+        """Per token of whole texts: id, count, log10 p of the first and of the last of ``levels``, and its node in the last."""
         id_, count = self.ids(value)
         total, distinct = self.model.tokens, self.model.levels[0].offsets[-1]
         ids, counts, log = id_[which], count[which], np.log10((count + 1) / (total + distinct + 1))[which]
         start = np.zeros(len(ids), bool)
         start[np.cumsum(sizes) - sizes] = True
         boundary = int(self.ids(np.array([xxh64_intdigest(END)], np.uint64))[0][0])
-        base, before, steps = log, ids, []
+        base, before = log, ids
         for level in range(1, levels):
             parent = np.append(-1, before[:-1])
             parent[start] = boundary if level == 1 else -1
@@ -295,9 +294,8 @@ class Trie:
             if len(rest):
                 p, at = np.unique(parent[rest], return_inverse=True)
                 own[rest] += self.successors(level, p, np.full(len(p), self.model.levels[0].offsets[-1]))[2][at]
-            steps.append((parent, node))
             log, before = own, node
-        return ids, counts, base, log, steps
+        return ids, counts, base, log, before
 
     def unigram(self, ids: np.ndarray) -> np.ndarray:
         """log10 add-one probability of each id."""
@@ -344,10 +342,10 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
         trie = Trie(model)
         for _, _, value, which, sizes in chunks(batches):
             if level == 1:
-                ids, log, steps = trie.ids(value)[0][which], None, []
+                before = ids = trie.ids(value)[0][which]
+                log = None
             else:
-                ids, _, _, log, steps = trie.paths(value, which, sizes, level)
-            before = steps[-1][1] if steps else ids
+                ids, _, _, log, before = trie.paths(value, which, sizes, level)
             parent = np.append(-1, before[:-1])
             start = np.cumsum(sizes) - sizes
             parent[start] = ids[-1] if level == 1 else -1  # each chunk ends with an end
@@ -359,7 +357,7 @@ def extended(docs: DataFrame, model: Model, shards: int) -> Level:
                 lower[pair] = log[use]
                 columns.append(lower.view(np.int32))
             n = np.bincount(pair, minlength=len(p))
-            del ids, log, steps, before, parent, use, pair
+            del ids, log, before, parent, use, pair
             yield from dealt(p // width, *columns, n, rising=True).to_batches()
 
     def build(batches):
