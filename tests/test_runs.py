@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrame
@@ -13,7 +15,7 @@ from orderflow.operators.quality import GateFailed
 from orderflow.plans import batch as batch_plan
 from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
 from orderflow.schemas import FACT, RAW_LANDING, max_length
-from orderflow.sources import target
+from orderflow.sources import readers, target, workdir
 from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream, stream_outcomes
 from orderflow.streaming.ingest import batch_context, run_incremental
 from orders import CTX, raw
@@ -118,6 +120,67 @@ def test_a_load_scans_its_input_once(spark, tmp_path):
     assert len(counted) <= 1 and (result.rows_read, result.rows_rejected, result.rows_inserted) == (30, 2, 28)
 
 
+def test_a_load_moves_staged_rows_once_and_survivors_alone(spark, tmp_path, monkeypatch):
+    """Rows go from the staged files to the target without a stored copy between, and before their digests are made."""
+    cfg, wrote, write = config(tmp_path), [], target.write_partitioned
+
+    def watched(df, path, **options):
+        wrote.append((df.count(), options, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, path, **options)
+    monkeypatch.setattr(target, "write_partitioned", watched)
+    monkeypatch.setattr(batch_plan, "_written", lambda df, path, *m, real=batch_plan._written: (wrote.append(path.rpartition("/")[2]), real(df, path, *m))[1])
+    for wave in (0, 1):
+        deliver(spark, cfg.source_root, wave)
+        run_batch(spark, config(tmp_path, partition_date=dt.date(2024, 1, 10 + wave)), RunContext(f"r{wave}", CTX.run_ts, CTX.as_of, "unit"))
+    assert [w if isinstance(w, str) else w[0] for w in wrote] == ["tagged", 28, "tagged", 30, 8]
+    for _, options, plan in (wrote[1], wrote[3]):
+        above, moved = plan.split("RebalancePartitions")
+        assert options["gathered"] and "AS order_line_sk" in above and "AS order_line_sk" not in moved
+    assert wrote[4][1]["mode"] == "append" and len(published(spark, cfg)) == 38
+
+
+def test_a_published_run_that_is_repeated_keeps_its_rows(spark, tmp_path):
+    cfg = config(tmp_path)
+    for wave in (0, 1):
+        deliver(spark, cfg.source_root, wave)
+        run = RunContext(f"r{wave}", CTX.run_ts, CTX.as_of, "unit")
+        run_batch(spark, config(tmp_path, partition_date=dt.date(2024, 1, 10 + wave)), run)
+    before = published(spark, cfg)
+    again = batch_plan.load_batch(spark, readers.read_raw(spark, cfg.source_root, "parquet", dt.date(2024, 1, 11)), cfg, run)
+    assert (again.rows_inserted, again.rows_updated) == (0, 0) and published(spark, cfg) == before and len(before) == 38
+
+
+def test_a_load_with_dimensions_loads_the_same_rows(spark, tmp_path):
+    products = spark.createDataFrame([("GARDEN-8", 5)], "product_id string, product_sk bigint")
+    found = {}
+    for name, given in (("without", None), ("with", products)):
+        cfg = PipelineConfig.under(str(tmp_path / "landing"), str(tmp_path / name), source_format="parquet")
+        if name == "without":
+            deliver(spark, cfg.source_root, 0)
+        result = run_batch(spark, cfg, CTX, products=given)
+        rejected = spark.read.option("recursiveFileLookup", True).parquet(f"{cfg.rejected_root}/contract").collect()
+        assert (result.rows_inserted, result.rows_rejected, [r["_dq_failure"] for r in rejected]) == (28, 2, ["contract:order_date is null"])
+        found[name] = target.read_target(spark, cfg.target_root)
+    assert {r[0] for r in found["with"].select("product_sk").collect()} == {5}
+    assert sorted(map(str, found["with"].drop("product_sk").collect())) == sorted(map(str, found["without"].drop("product_sk").collect()))
+
+
+def shuffle_files(disk):
+    return {str(p) for folder in disk.localDirs() for p in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = spark.conf.get(workdir._SHUFFLES_GO)
+    old = shuffle_files(files)
+    rows = workdir.stored(spark.range(1000).repartition(3, "id"), "moved")
+    for _ in range(50):
+        if not (left := shuffle_files(files) - old):
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 1000 and spark.conf.get(workdir._SHUFFLES_GO) == before
+
+
 def test_load_check_raises_on_a_difference(spark, tmp_path):
     cfg = config(tmp_path)
     deliver(spark, cfg.source_root, 0)

@@ -91,6 +91,15 @@ def test_only_raw_columns_are_shuffled_for_the_dedup(spark):
     assert not any(c in window for c in ("gross_revenue", "days_to_ship", "order_quarter", "_run_id"))
 
 
+def test_rows_are_gathered_before_the_rest_is_derived(spark):
+    rows = raw(spark, {}, {"order_id": "b", "order_date": "2024-02-30"}, {"order_id": "c", "order_date": "2024-02-03"})
+    plan = transform(rows, CTX, gather=["order_year", "order_month"])._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RebalancePartitions"):]
+    assert "gross_revenue" in plan and not any(c in moved for c in ("gross_revenue", "days_to_ship", "order_quarter", "_run_id"))
+    for keys in (("order_id",), ("order_id", "days_to_ship")):
+        assert sorted(map(str, transform(rows, CTX, keys, gather=["order_year"]).collect())) == sorted(map(str, transform(rows, CTX, keys).collect()))
+
+
 def test_a_derived_column_may_be_a_key(spark):
     rows = raw(spark, {}, {"ship_date": "2023-11-30"}, {"city": "x"})
     assert sorted(r["days_to_ship"] for r in transform(rows, CTX, keys=("order_id", "days_to_ship")).collect()) == [3, 24]
