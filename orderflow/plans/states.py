@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from orderflow.operators.dims import assign_surrogate_keys
 from orderflow.plans.reports import SUMMARY_DAYS, SUMMARY_KEYS, late_count
 from orderflow.schemas import STAGED_PARTITIONS
 from orderflow.sources import target
-from orderflow.sources.workdir import empty, exists, read_file, replace_file
+from orderflow.sources.workdir import empty, exists, read_file, replace_file, shuffles_go, stored
 
 # Counted ids, and what their counts are called.
 ENTITIES = {"order_id": "order_count", "customer_id": "customer_count"}
@@ -38,31 +40,56 @@ def numbered(ids: DataFrame, column: str, known: DataFrame | None = None) -> Dat
     return assign_surrogate_keys(fresh, "value", "number", known)
 
 
-def sums(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS, sketches: bool = False) -> DataFrame:
-    """A row per group: what adds up, and sketches of the counted ids if asked for."""
-    more = [F.hll_sketch_agg(c, SKETCH_BITS).alias(f"{c}_sketch") for c in ENTITIES] if sketches else []
+def groups_of(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
+    """(keys, group): the groups that occur, stored with a number each, so that rows need not take their keys along when they move."""
+    return stored(fact.select(*keys).distinct().withColumn("group", F.monotonically_increasing_id()), "groups")
+
+
+def grouped(fact: DataFrame, groups: DataFrame) -> DataFrame:
+    """``fact`` with each row's group number instead of its keys; there is a group for every row, whichever keys are NULL."""
+    keys = [c for c in groups.columns if c != "group"]
+    theirs = groups.select("group", *[F.col(c).alias(f"_group_{c}") for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_group_{c}")) for c in keys], F.lit(True))
+    return fact.join(theirs, same).select("group", *[c for c in fact.columns if c not in keys])
+
+
+def sums(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
+    """A row per group: what adds up."""
     return fact.groupBy(*keys).agg(
         F.sum("quantity").cast("bigint").alias("total_units"),
         F.sum("gross_revenue").cast(_SUM).alias("total_gross_revenue"),
         F.sum("net_revenue").cast(_SUM).alias("total_net_revenue"),
         F.sum("days_to_ship").cast("bigint").alias("days_sum"),
         F.count("days_to_ship").alias("days_count"),
-        late_count().cast("bigint").alias("late_shipments"),
-        *more)
+        late_count().cast("bigint").alias("late_shipments"))
+
 
+def sums_and_sketches(fact: DataFrame, groups: DataFrame) -> DataFrame:
+    """``sums``, and sketches of the counted ids.
 
-def id_sets(fact: DataFrame, column: str, numbers: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
+    Aggregations with sketches sort their rows where there are many groups; they do so apart from the sums, with the ids alone.
+    """
+    rows = grouped(fact, groups)
+    sketches = rows.select("group", *ENTITIES).groupBy("group").agg(*[F.hll_sketch_agg(c, SKETCH_BITS).alias(f"{c}_sketch") for c in ENTITIES])
+    return sums(rows, ["group"]).join(sketches, "group").join(groups, "group").drop("group")
+
+
+def id_sets(fact: DataFrame, column: str, numbers: DataFrame, keys: Sequence[str] = SUMMARY_KEYS, groups: DataFrame | None = None) -> DataFrame:
     """(keys, entity, bucket, bitmap): the numbers of a group's ids, a bitmap for each 32,768 of them that has any.
 
-    Pairs of group and id meet first, so that the join sees an id once per group, however many rows it has. Numbers go to
+    A row moves twice: with its id to the id's number, in a join that adaptive execution can split where an id has many rows, and with the number
+    to its bitmap. It has the number of its group (``groups``, which is worked out if not given) for its keys. Numbers go to
     their bitmap's task as they are: a group's ids are spread over all tasks of the join, which would send 4 KB for nearly each of them.
     """
-    pairs = fact.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("value")).distinct()
+    if groups is None:
+        groups = groups_of(fact, keys)
+    rows = grouped(fact.select(*keys, F.col(column).alias("value")).filter("value is not null"), groups)
     number = F.col("number")
-    placed = pairs.join(numbers, "value").select(
-        *keys, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("position"))
-    return placed.repartition(*keys, "bucket").groupBy(*keys, F.lit(column).alias("entity"), "bucket").agg(
+    placed = rows.join(numbers, "value").select(
+        "group", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("position"))
+    bitmaps = placed.repartition("group", "bucket").groupBy("group", F.lit(column).alias("entity"), "bucket").agg(
         F.bitmap_construct_agg(F.col("position").cast("bigint")).alias("bitmap"))
+    return bitmaps.join(groups, "group").select(*keys, "entity", "bucket", "bitmap")
 
 
 def _places(root: str) -> tuple[str, str]:
@@ -85,16 +112,18 @@ def write_states(fact: DataFrame, root: str, keys: Sequence[str] = SUMMARY_KEYS)
     sums_at, ids_at = _places(root)
 
     def put(rows: DataFrame, path: str) -> None:
-        rows.hint("rebalance", *STAGED_PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *STAGED_PARTITIONS).parquet(path)
-
-    sets = None
-    for column in ENTITIES:
-        numbered(dated, column, known_numbers(spark, root, column)).write.mode("append").parquet(f"{root}/numbers/{column}")
-        own = id_sets(dated, column, known_numbers(spark, root, column), keys)
-        sets = own if sets is None else sets.unionByName(own)
-    put(sums(dated, keys, sketches=True), sums_at)
-    put(sets, ids_at)
+        rows.hint("rebalance", *STAGED_PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+            "compression", "zstd").partitionBy(*STAGED_PARTITIONS).parquet(path)
+
+    groups, sets = groups_of(dated, keys), None
+    with shuffles_go(spark):
+        put(sums_and_sketches(dated, groups), sums_at)
+        for column in ENTITIES:
+            numbered(dated, column, known_numbers(spark, root, column)).write.mode("append").option(
+                "compression", "zstd").parquet(f"{root}/numbers/{column}")
+            own = id_sets(dated, column, known_numbers(spark, root, column), keys, groups)
+            sets = own if sets is None else sets.unionByName(own)
+        put(sets, ids_at)
 
 
 def refresh_states(spark: SparkSession, root: str, target_root: str) -> list[tuple[int, int]]:

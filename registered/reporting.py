@@ -111,7 +111,7 @@ def agg_late_pct(spark, sf_dir):
 
 def _states(spark, rows):
     """Monthly states of stored rows, and the rows: all of them, with the columns that states and reports read."""
-    rows, root = stored(rows.select(*states.SOURCE_COLUMNS), "fact"), fresh_dir(spark, "states")
+    rows, root = stored(rows.select(*states.SOURCE_COLUMNS), "fact", "zstd"), fresh_dir(spark, "states")
     states.write_states(rows, root)
     return rows, root
 

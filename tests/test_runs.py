@@ -15,7 +15,7 @@ from orderflow.operators.quality import GateFailed
 from orderflow.plans import batch as batch_plan
 from orderflow.plans.batch import DimensionError, LoadMismatch, run_batch, validate_load
 from orderflow.schemas import FACT, RAW_LANDING, max_length
-from orderflow.sources import readers, target, workdir
+from orderflow.sources import readers, target, workdir, writers
 from orderflow.streaming.arrivals import alert_stream, alert_updates, read_alerts, read_routed, route_stream, stream_outcomes
 from orderflow.streaming.ingest import batch_context, run_incremental
 from orders import CTX, raw
@@ -169,11 +169,11 @@ def shuffle_files(disk):
     return {str(p) for folder in disk.localDirs() for p in Path(folder.getPath()).rglob("shuffle_*")}
 
 
-def test_shuffle_files_go_with_the_write_that_made_them(spark):
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     before = spark.conf.get(workdir._SHUFFLES_GO)
     old = shuffle_files(files)
-    rows = workdir.stored(spark.range(1000).repartition(3, "id"), "moved")
+    rows = spark.read.parquet(writers.write_partitioned(spark.range(1000).withColumn("part", F.col("id") % 3), str(tmp_path / "moved"), ["part"]))
     for _ in range(50):
         if not (left := shuffle_files(files) - old):
             break

@@ -10,6 +10,7 @@ from orderflow.operators.conform import conform
 from orderflow.operators.transform import transform
 from orderflow.plans import reports, states
 from orderflow.sources import target
+from orderflow.sources.workdir import stored
 from orders import CTX, raw
 
 
@@ -98,6 +99,33 @@ def test_numbers_are_moved_and_not_bitmaps(spark):
     assert sorted((r["region"], r["n"], r["buckets"]) for r in found) == [(0, 23334, 3), (1, 23333, 3), (2, 23333, 3)]
 
 
+def test_rows_move_with_their_group_and_id_alone(spark):
+    """Twice an entity: to the number and to the bitmap; neither keys nor a distinct of the pairs go along."""
+    rows = lines(spark)
+    groups, numbers = states.groups_of(rows), stored(states.numbered(rows, "order_id"), "numbers")
+    plan = states.id_sets(rows, "order_id", numbers, groups=groups)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression [group"):].splitlines()
+    assert "Project [group" in below[1] and not any(c in below[1] for c in reports.SUMMARY_KEYS)
+    assert not any("Aggregate" in line for line in below)
+    # sketches sort their rows apart from the sums
+    plan = states.sums_and_sketches(rows, groups)._jdf.queryExecution().executedPlan().toString()
+    sorted_rows = [line for line in plan.splitlines() if "ObjectHashAggregate" in line]
+    assert sorted_rows and not any("sum(" in line or "order_month" in line for line in sorted_rows)
+
+
+def test_groups_with_null_keys_keep_their_rows(spark):
+    rows = lines(spark)
+    groups = states.groups_of(rows, ["region", "channel"])
+    assert groups.count() == groups.select("group").distinct().count() == 6
+    got = states.grouped(rows, groups).join(groups, "group").groupBy("region", "channel").count()
+    same(got, rows.groupBy("region", "channel").count())
+    # no keys at all, and an id that most rows have
+    many = rows.unionByName(rows.withColumn("customer_id", F.lit("guest")))
+    sets = states.id_sets(many, "customer_id", states.numbered(many, "customer_id"), [])
+    assert sets.columns == ["entity", "bucket", "bitmap"]
+    assert sets.agg(F.sum(F.bitmap_count("bitmap"))).first()[0] == many.select("customer_id").distinct().filter("customer_id is not null").count()
+
+
 def test_states_are_made_from_the_columns_they_read(spark, tmp_path):
     from registered import reporting
     rows = lines(spark).withColumn("product_name", F.lit("x"))
