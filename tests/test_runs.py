@@ -121,7 +121,7 @@ def test_a_load_scans_its_input_once(spark, tmp_path):
 
 
 def test_a_load_moves_staged_rows_once_and_survivors_alone(spark, tmp_path, monkeypatch):
-    """Rows go from the staged files to the target without a stored copy between, and before their digests are made."""
+    """Rows go from the staged files to the target without a stored copy between, and without moving."""
     cfg, wrote, write = config(tmp_path), [], target.write_partitioned
 
     def watched(df, path, **options):
@@ -134,9 +134,21 @@ def test_a_load_moves_staged_rows_once_and_survivors_alone(spark, tmp_path, monk
         run_batch(spark, config(tmp_path, partition_date=dt.date(2024, 1, 10 + wave)), RunContext(f"r{wave}", CTX.run_ts, CTX.as_of, "unit"))
     assert [w if isinstance(w, str) else w[0] for w in wrote] == ["tagged", 28, "tagged", 30, 8]
     for _, options, plan in (wrote[1], wrote[3]):
-        above, moved = plan.split("RebalancePartitions")
-        assert options["gathered"] and "AS order_line_sk" in above and "AS order_line_sk" not in moved
+        assert options["gathered"] and "RebalancePartitions" not in plan
     assert wrote[4][1]["mode"] == "append" and len(published(spark, cfg)) == 38
+    # a file a month and run, and one for the rows that stay
+    files = [readers.list_files(spark, f"{cfg.target_root}/data/run_id=r{wave}", "*.parquet").count() for wave in (0, 1)]
+    assert files[0] == 3 and files[1] <= 6
+
+
+def test_scans_for_a_sort_are_cut_small(spark, tmp_path):
+    path, before = str(tmp_path / "rows"), spark.conf.get(workdir._TASK_BYTES)
+    rows, _ = batch_plan._written(spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("h")), path, F.count("h").alias("n"))
+    with workdir.small_tasks(spark, 1024 * 1024):
+        most = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        with workdir.small_tasks(spark, 2**40):
+            assert spark.conf.get(workdir._TASK_BYTES) == str(1024 * 1024)
+    assert most <= 2_200_000 and spark.conf.get(workdir._TASK_BYTES) == before
 
 
 def test_a_published_run_that_is_repeated_keeps_its_rows(spark, tmp_path):
